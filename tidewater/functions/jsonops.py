@@ -1,4 +1,4 @@
-"""Column helpers over JSON records held as ``map<string,variant>``."""
+"""Column helpers over JSON records: variants, and open objects as ``map<string,variant>``."""
 
 from __future__ import annotations
 
@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from tidewater.schemas import OPEN_OBJECT
 
-# Standard JSON only.
+# Standard JSON only, where a text is read into typed fields.
 PARSE_OPTIONS = {"allowSingleQuotes": "false"}
 
 
-def parse_object(value: Column, strict: bool = False) -> Column:
-    """The JSON object in a text; NULL when the text is anything else."""
-    options = {**PARSE_OPTIONS, "mode": "FAILFAST"} if strict else PARSE_OPTIONS
-    return F.from_json(value, OPEN_OBJECT, options)
+def parse_text(value: Column, strict: bool = False) -> Column:
+    """The document in a JSON text as one variant.
+
+    NULL for a text that is not JSON; ``strict`` fails the job on it.
+    """
+    return F.parse_json(value) if strict else F.try_parse_json(value)
 
 
 def with_computed(df: DataFrame, **columns: Column) -> DataFrame:
@@ -33,14 +35,14 @@ def path_string(value: Column, path: str = "$") -> Column:
     return F.try_variant_get(value, path, "string")
 
 
-def as_object(value: Column) -> Column:
-    """The value as an open object; NULL for scalars, arrays and JSON null."""
-    return value.try_cast(OPEN_OBJECT)
+def as_object(value: Column, path: str = "$") -> Column:
+    """The value at ``path`` as an open object; NULL for scalars, arrays and JSON null."""
+    return F.try_variant_get(value, path, OPEN_OBJECT)
 
 
-def as_array(value: Column) -> Column:
-    """The value as an array of variants; NULL for anything else."""
-    return F.try_variant_get(value, "$", "array<variant>")
+def as_array(value: Column, path: str = "$") -> Column:
+    """The value at ``path`` as an array of variants; NULL for anything else."""
+    return F.try_variant_get(value, path, "array<variant>")
 
 
 def is_present(value: Column) -> Column:
@@ -48,13 +50,13 @@ def is_present(value: Column) -> Column:
     return value.isNotNull() & ~F.is_variant_null(value)
 
 
-def object_nonempty(value: Column) -> Column:
-    """Whether a field is an object with at least one key; null-valued keys count."""
-    return F.coalesce(F.size(as_object(value)) > 0, F.lit(False))
+def has_path(value: Column, path: str) -> Column:
+    return is_present(F.try_variant_get(value, path, "variant"))
 
 
-def array_nonempty(value: Column) -> Column:
-    return F.coalesce(F.size(as_array(value)) > 0, F.lit(False))
+def nonempty(container: Column) -> Column:
+    """Whether an object or array has at least one entry; null-valued ones count."""
+    return F.coalesce(F.size(container) > 0, F.lit(False))
 
 
 def set_field(obj: Column, name: str, value: Column) -> Column:

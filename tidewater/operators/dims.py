@@ -40,8 +40,10 @@ def merge_cells(cells: DataFrame) -> DataFrame:
 
 def wide_rows(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Cells of one dimension as its table: one row per key, the latest value per column."""
+    # Cells of other columns have no order here, and rows without one are passed over.
     values = [
-        F.max_by("value", "seq").filter(F.col("column") == name).alias(name) for name in columns
+        F.max_by("value", F.when(F.col("column") == name, F.col("seq"))).alias(name)
+        for name in columns
     ]
     wanted = cells.where(F.col("column").isin(*columns))
     return wanted.groupBy(F.col("pk").alias(ROW_KEY)).agg(*values).select(*[F.col(f"`{name}`") for name in columns])

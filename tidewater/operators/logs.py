@@ -20,25 +20,21 @@ def parse_logs(df: DataFrame, strict: bool = False) -> DataFrame:
     ``reason`` is NULL for good records; otherwise it says why the record is a
     dead letter. With ``strict`` such a record fails the job instead.
     """
-    value = F.col("value")
-    parsed = J.with_computed(df, rec=J.parse_object(value, strict))
-    common = F.col("rec")["common"]
-    reason = (
-        F.when(F.col("rec").isNull() & F.try_parse_json(value).isNull(), "bad_json")
-        .when(F.col("rec").isNull(), "not_object")
-        .when(J.path_string(common, "$.mid").isNull(), "no_mid")
-    )
-    parsed = J.with_computed(
-        parsed,
-        mid=J.path_string(common, "$.mid"),
-        is_new=J.path_string(common, "$.is_new"),
-        reason=reason,
+    rec = F.col("rec")
+    parsed = J.with_computed(df, rec=J.parse_text(F.col("value"), strict))
+    mid = J.path_string(rec, "$.common.mid")
+    why = (
+        F.when(rec.isNull(), "bad_json").when(J.as_object(rec).isNull(), "not_object").otherwise("no_mid")
     )
     if strict:
-        message = F.concat(F.col("reason"), F.lit(": "), F.coalesce(value, F.lit("")))
-        checked = F.when(F.col("reason").isNotNull(), F.raise_error(message)).otherwise(value)
-        parsed = J.with_computed(parsed, value=checked)
-    return parsed
+        why = F.raise_error(F.concat(why, F.lit(": "), F.coalesce("value", F.lit(""))))
+    return parsed.withColumns(
+        {
+            "mid": mid,
+            "is_new": J.path_string(rec, "$.common.is_new"),
+            "reason": F.when(mid.isNull(), why),
+        }
+    )
 
 
 def good_logs(parsed: DataFrame) -> DataFrame:
@@ -47,10 +43,11 @@ def good_logs(parsed: DataFrame) -> DataFrame:
 
 def dirty_logs(parsed: DataFrame) -> DataFrame:
     """Dead letters of the parse step: the original text and the reason."""
-    return parsed.where("reason IS NOT NULL").withColumn("stage", F.lit("parse_logs")).drop("rec", "mid", "is_new")
+    bad = parsed.where("reason IS NOT NULL").drop("rec", "mid", "is_new")
+    return bad.withColumn("stage", F.lit("parse_logs"))
 
 
-def is_flagged(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_flagged(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that claim a new visitor, and all other rows."""
     flagged = F.col("is_new").eqNullSafe(NEW_VISITOR) & F.col("mid").isNotNull()
     return df.where(flagged), df.where(~flagged)
@@ -72,7 +69,7 @@ def repair_is_new(df: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFram
     with a large share of the rows is spread over all tasks. A parsed ``rec`` is rebuilt
     after the exchange rather than sent through it.
     """
-    flagged, rest = is_flagged(df)
+    flagged, rest = split_flagged(df)
     firsts = flagged.groupBy(F.col("mid").alias("first_mid")).agg(first_order(order_by).alias("first"))
     firsts = firsts.select("first_mid", *[F.col(f"first.{c}").alias(f"first_{c}") for c in order_by])
     same_row = F.col("mid") == F.col("first_mid")
@@ -95,7 +92,7 @@ def with_repair(df: DataFrame, is_later: Column) -> DataFrame:
 def union_repaired(original: DataFrame, checked: DataFrame, rest: DataFrame) -> DataFrame:
     """Bring checked rows and untouched rows back together in one column order."""
     if "rec" in original.columns:
-        checked = J.with_computed(checked, rec=J.parse_object(F.col("value")))
+        checked = J.with_computed(checked, rec=J.parse_text(F.col("value")))
     columns = [*original.columns, "repaired"]
     rest = rest.withColumn("repaired", F.lit(False))
     return checked.select(*columns).unionByName(rest.select(*columns))
@@ -103,21 +100,16 @@ def union_repaired(original: DataFrame, checked: DataFrame, rest: DataFrame) ->
 
 def record_text(rec: Column, value: Column, is_new: Column, repaired: Column) -> Column:
     """The record as text: the original, or rewritten where the flag was repaired."""
-    common = J.set_field(J.as_object(rec["common"]), "is_new", J.to_variant(is_new))
-    rewritten = J.set_field(rec, "common", F.to_variant_object(common))
+    common = J.set_field(J.as_object(rec, "$.common"), "is_new", J.to_variant(is_new))
+    rewritten = J.set_field(J.as_object(rec), "common", F.to_variant_object(common))
     return F.when(repaired, F.to_json(rewritten)).otherwise(value)
 
 
-def display_texts(rec: Column) -> Column:
-    """One text per display object, each with the page's ``page_id`` (left out when null)."""
-    page_id = J.path_string(rec["page"], "$.page_id")
-
-    def with_page(display: Column) -> Column:
-        fields = J.set_field(J.as_object(display), "page_id", J.to_variant(page_id))
-        return F.to_json(F.when(page_id.isNull(), F.map_filter(fields, lambda k, _: k != "page_id")).otherwise(fields))
-
-    objects = F.filter(J.as_array(rec["displays"]), lambda d: J.as_object(d).isNotNull())
-    return F.transform(objects, with_page)
+def display_text(display: Column, page_id: Column) -> Column:
+    """A display object with its page's ``page_id``, which is left out when null."""
+    others = F.map_filter(display, lambda key, _: key != "page_id")
+    own = F.create_map(F.lit("page_id"), J.to_variant(page_id))
+    return F.to_json(F.when(page_id.isNull(), others).otherwise(F.map_concat(others, own)))
 
 
 def route_logs(df: DataFrame, keep: Sequence[str] = ("seq",)) -> DataFrame:
@@ -129,46 +121,53 @@ def route_logs(df: DataFrame, keep: Sequence[str] = ("seq",)) -> DataFrame:
     branches of the wrong JSON type, go to the dead-letter topic with a reason.
     """
     rec = F.col("rec")
-    bad = F.col("reason").isNotNull()
+    good = F.col("reason").isNull()
+    start, page = J.as_object(rec, "$.start"), J.as_object(rec, "$.page")
+    elements = J.as_array(rec, "$.displays")
+    parts = df.withColumns(
+        {
+            "has_start": good & J.nonempty(start),
+            "has_page": good & J.nonempty(page),
+            "bad_start": good & start.isNull() & J.has_path(rec, "$.start"),
+            "bad_page": good & page.isNull() & J.has_path(rec, "$.page"),
+            "displays": F.transform(elements, lambda element: J.as_object(element)),
+        }
+    )
+    has_page, displays = F.col("has_page"), F.col("displays")
+    bad_displays = has_page & F.when(displays.isNull(), J.has_path(rec, "$.displays")).otherwise(
+        F.exists(displays, lambda display: display.isNull())
+    )
     whole = record_text(rec, F.col("value"), F.col("is_new"), F.col("repaired"))
-    has_page = J.object_nonempty(rec["page"])
+    page_id = J.path_string(rec, "$.page.page_id")
+    shown = F.filter(displays, lambda display: display.isNotNull())
+    outputs = F.concat(
+        _outputs(~good, _dead(F.col("reason"))),
+        _outputs(F.col("has_start"), _output(START_TOPIC, whole)),
+        _outputs(has_page, _output(PAGE_TOPIC, whole)),
+        F.when(
+            has_page & J.nonempty(shown),
+            F.transform(shown, lambda display: _output(DISPLAY_TOPIC, display_text(display, page_id))),
+        ).otherwise(_no_outputs()),
+        _outputs(F.col("bad_start"), _dead(F.lit("bad_start"))),
+        _outputs(F.col("bad_page"), _dead(F.lit("bad_page"))),
+        _outputs(bad_displays, _dead(F.lit("bad_displays"))),
+    )
+    routed = parts.select(*keep, F.posexplode(outputs).alias("branch", "out"))
+    return routed.select("out.topic", "out.value", "out.reason", "branch", *keep)
 
-    def output(topic: str, value: Column, reason: Column) -> Column:
-        return F.struct(F.lit(topic).alias("topic"), value.alias("value"), reason.alias("reason"))
 
-    def when(condition: Column, outputs: Column) -> Column:
-        return F.when(condition, outputs).otherwise(F.array().cast(OUTPUTS))
+def _output(topic: str, value: Column, reason: Column | None = None) -> Column:
+    why = F.lit(None).cast("string") if reason is None else reason
+    return F.struct(F.lit(topic).alias("topic"), value.alias("value"), why.alias("reason"))
 
-    none = F.lit(None).cast("string")
 
-    def dead(condition: Column, reason: Column | str) -> Column:
-        why = F.lit(reason) if isinstance(reason, str) else reason
-        return when(condition, F.array(output(DEAD_LETTER_TOPIC, F.col("value"), why)))
+def _dead(reason: Column) -> Column:
+    return _output(DEAD_LETTER_TOPIC, F.col("value"), reason)
 
-    def wrong_object(name: str) -> Column:
-        return ~bad & J.is_present(rec[name]) & J.as_object(rec[name]).isNull()
 
-    elements = J.as_array(rec["displays"])
-    wrong_displays = (
-        ~bad
-        & has_page
-        & J.is_present(rec["displays"])
-        & (elements.isNull() | F.exists(elements, lambda d: J.as_object(d).isNull()))
-    )
-    outputs = F.concat(
-        dead(bad, F.col("reason")),
-        when(~bad & J.object_nonempty(rec["start"]), F.array(output(START_TOPIC, whole, none))),
-        when(~bad & has_page, F.array(output(PAGE_TOPIC, whole, none))),
-        when(
-            ~bad & has_page & J.array_nonempty(rec["displays"]),
-            F.transform(display_texts(rec), lambda text: output(DISPLAY_TOPIC, text, none)),
-        ),
-        dead(wrong_object("start"), "bad_start"),
-        dead(wrong_object("page"), "bad_page"),
-        dead(wrong_displays, "bad_displays"),
-    )
-    routed = df.select(*keep, F.posexplode(outputs).alias("branch", "out"))
-    return routed.select("out.topic", "out.value", "out.reason", "branch", *keep)
+def _outputs(condition: Column, output: Column) -> Column:
+    return F.when(condition, F.array(output)).otherwise(_no_outputs())
 
 
-OUTPUTS = "array<struct<topic:string,value:string,reason:string>>"
+def _no_outputs() -> Column:
+    return F.array().cast("array<struct<topic:string,value:string,reason:string>>")

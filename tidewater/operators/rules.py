@@ -53,7 +53,7 @@ def validate_rules(rules: DataFrame, trim_columns: bool = False) -> DataFrame:
     """
     columns = J.split_columns(F.col("sink_columns"))
     if trim_columns:
-        columns = F.transform(columns, F.trim)
+        columns = F.transform(columns, lambda name: F.trim(name))
     kind = sink_kind(F.col("sink_type"))
     pk = F.when(kind == "dim", F.coalesce("sink_pk", F.lit(DEFAULT_PK))).otherwise(F.col("sink_pk"))
     table = F.when(kind == "topic", F.coalesce("sink_table", F.lit(DEFAULT_TOPIC)))
@@ -67,7 +67,7 @@ def validate_rules(rules: DataFrame, trim_columns: bool = False) -> DataFrame:
             "sink_extend": F.coalesce("sink_extend", F.lit("")),
         }
     )
-    names = F.transform("columns", F.lower)
+    names = F.transform("columns", lambda name: F.lower(name))
     is_dim = F.col("sink_type").eqNullSafe("dim")
     reason = (
         F.when(F.col("blank"), "empty_rule")
@@ -170,7 +170,7 @@ def _route(changes: DataFrame, rules: DataFrame, in_force: Column) -> DataFrame:
     carried = [name for name in changes.columns if name != "reason"]
     earlier = F.col("reason") if "reason" in changes.columns else F.lit(None).cast("string")
     joined = changes.select(*carried, earlier.alias("earlier")).join(side, matches, "left")
-    payload = J.keep_keys(F.col("after"), F.col("columns"))
+    payload = J.keep_keys(F.col("after"), F.coalesce("columns", F.array().cast("array<string>")))
     is_dim = F.col("sink_type").eqNullSafe("dim")
     pk = F.when(is_dim, J.path_string(F.try_element_at("after", F.col("sink_pk"))))
     known = F.col("sink_type").isin("topic", "dim")

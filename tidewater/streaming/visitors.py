@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewater.operators.logs import KNOWN_VISITOR, NEW_VISITOR, is_flagged, union_repaired
+from tidewater.operators.logs import KNOWN_VISITOR, NEW_VISITOR, split_flagged, union_repaired
 from tidewater.session import session_conf
 
 STATE_STORE = {
@@ -35,7 +35,7 @@ def repair_is_new_stream(
     the shuffle and spread over lanes that need no state, so a device that sends a large
     share of a micro-batch does not end up in one task.
     """
-    flagged, rest = is_flagged(df)
+    flagged, rest = split_flagged(df)
     flagged = flagged.drop("rec")
     later = later_in_batch()(F.struct("mid", *order_by))
     lanes = LANES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.functions import jsonops as J
@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+def log_text(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     """App-log messages ``seq, value`` from ``events``; errors become broken texts."""
     kind = F.col("event_type")
     new = F.when(F.col("event_id") % 2 == 0, "1").otherwise("0")
@@ -55,13 +55,13 @@ def log_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     broken = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"))
     value = F.when(kind == "error", broken).otherwise(record)
-    return table(spark, sf_dir, "events").select(F.col("event_id").alias("seq"), value.alias("value"))
+    events = table(spark, sf_dir, "events")
+    return events.select(F.col("event_id").alias("seq"), value.alias("value"), *extra)
 
 
 def raw_changes(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """Landed change records ``topic, value, seq`` for a table; the key picks the operation."""
     rows = table(spark, sf_dir, name)
-    image = row_image(*[c for c, t in rows.dtypes if not t.startswith("timestamp")])
     for column, kind in rows.dtypes:
         if kind.startswith("timestamp"):
             rows = rows.withColumn(column, F.date_format(column, "yyyy-MM-dd HH:mm:ss"))
