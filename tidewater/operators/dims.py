@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,16 +15,24 @@ CELL_KEY = ("sink_table", "pk", "column")
 ROW_KEY = "row key"
 
 
-def dim_cells(rows: DataFrame, order_by: str = "seq") -> DataFrame:
+def dim_cells(
+    rows: DataFrame, order_by: str = "seq", types: Mapping[tuple[str, str], str] | None = None
+) -> DataFrame:
     """One row per column that a change carries: ``sink_table, pk, column, value, seq``.
 
     A column absent from the change has no cell; an explicit null is a cell with a
-    NULL value.
+    NULL value. Numbers print without zeros at the end unless ``types`` gives a type
+    such as ``decimal(10,2)`` for (table, column).
     """
     cells = rows.select(
         "sink_table", "pk", F.col(order_by).alias("seq"), F.explode("payload").alias("column", "leaf")
     )
-    return cells.select(*CELL_KEY, J.path_string(F.col("leaf")).alias("value"), "seq")
+    value = J.path_string(F.col("leaf"))
+    for (table, column), kind in (types or {}).items():
+        typed = F.try_variant_get("leaf", "$", kind).cast("string")
+        chosen = (F.col("sink_table") == table) & (F.col("column") == column)
+        value = F.when(chosen, F.coalesce(typed, J.path_string(F.col("leaf")))).otherwise(value)
+    return cells.select(*CELL_KEY, value.alias("value"), "seq")
 
 
 def merge_cells(cells: DataFrame) -> DataFrame:

@@ -29,11 +29,10 @@ def bind_rules(changes: DataFrame, order_by: str = "seq") -> DataFrame:
     """
     bound = {name: J.field_ignoring_style(F.col("after"), name) for name in RULE_FIELDS}
     old = {f"old_{name}": J.field_ignoring_style(F.col("before"), name) for name in RULE_KEY}
-    return changes.select(
-        *[value.alias(name) for name, value in {**bound, **old}.items()],
-        F.col("type").alias("change_type"),
-        F.col(order_by).alias("seq"),
+    images = changes.select(
+        "after", "before", F.col("type").alias("change_type"), F.col(order_by).alias("seq")
     )
+    return J.with_computed(images, **bound, **old).drop("after", "before")
 
 
 def sink_kind(sink_type: Column) -> Column:
@@ -57,15 +56,14 @@ def validate_rules(rules: DataFrame, trim_columns: bool = False) -> DataFrame:
     kind = sink_kind(F.col("sink_type"))
     pk = F.when(kind == "dim", F.coalesce("sink_pk", F.lit(DEFAULT_PK))).otherwise(F.col("sink_pk"))
     table = F.when(kind == "topic", F.coalesce("sink_table", F.lit(DEFAULT_TOPIC)))
-    filled = rules.withColumns(
-        {
-            "blank": F.coalesce(*RULE_FIELDS).isNull(),
-            "columns": columns,
-            "sink_type": kind,
-            "sink_pk": pk,
-            "sink_table": table.otherwise(F.col("sink_table")),
-            "sink_extend": F.coalesce("sink_extend", F.lit("")),
-        }
+    filled = J.with_computed(
+        rules,
+        blank=F.coalesce(*RULE_FIELDS).isNull(),
+        columns=columns,
+        sink_type=kind,
+        sink_pk=pk,
+        sink_table=table.otherwise(F.col("sink_table")),
+        sink_extend=F.coalesce("sink_extend", F.lit("")),
     )
     names = F.transform("columns", lambda name: F.lower(name))
     is_dim = F.col("sink_type").eqNullSafe("dim")

@@ -45,18 +45,21 @@ def start_log_job(
     order_by: Sequence[str] = ORDER_COLUMNS,
     trigger: Mapping = AVAILABLE_NOW,
     ttl_ms: int | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Raw logs to start, page, display and dead-letter topics.
 
     ``messages`` has ``value`` and the ``order_by`` columns. Counts per topic are
-    observed under the name ``log_outputs``.
+    observed under the name ``log_outputs``. ``state_partitions`` spreads the device
+    state and cannot change once the checkpoint exists.
     """
-    repaired = repair_is_new_stream(parse_logs(messages), order_by, ttl_ms)
+    repaired = repair_is_new_stream(parse_logs(messages), order_by, ttl_ms, state_partitions)
     outputs = route_logs(repaired, keep=order_by)
     topics = (START_TOPIC, PAGE_TOPIC, DISPLAY_TOPIC, DEAD_LETTER_TOPIC)
     counts = [F.count_if(F.col("topic") == name).alias(name) for name in topics]
     rows = publishable(outputs.observe("log_outputs", *counts), order_by, "log_job")
-    return _start(sink.write_stream(rows), "log_job", checkpoint, trigger, messages.sparkSession)
+    writer = sink.write_stream(rows)
+    return _start(writer, checkpoint, trigger, messages.sparkSession, state_partitions)
 
 
 def start_capture_job(
@@ -79,7 +82,7 @@ def start_capture_job(
     )
     counts = [F.count("*").alias("changes"), F.count_if(dead).alias("dead")]
     rows = publishable(texts.observe("captured", *counts), order_by, "capture_job")
-    return _start(sink.write_stream(rows), "capture_job", checkpoint, trigger, messages.sparkSession)
+    return _start(sink.write_stream(rows), checkpoint, trigger, messages.sparkSession)
 
 
 def start_change_job(
@@ -94,6 +97,7 @@ def start_change_job(
     trigger: Mapping = AVAILABLE_NOW,
     honor_deletes: bool = False,
     trim_columns: bool = False,
+    types: Mapping[tuple[str, str], str] | None = None,
     compact_every: int | None = None,
 ) -> StreamingQuery:
     """Envelopes to one topic per fact table and one upserted table per dimension.
@@ -101,7 +105,8 @@ def start_change_job(
     ``rule_changes`` is called for every micro-batch, so rules added meanwhile apply
     before its rows are routed. ``seq`` orders the changes of a dimension key and is
     one of the columns of ``messages``; ``order_by`` identifies a message. With
-    ``database`` the tables named by dimension rules are created in the catalog.
+    ``database`` the tables named by dimension rules are created in the catalog. ``types``
+    is passed to ``dim_cells``.
     """
     parsed = parse_envelopes(messages)
     counts = [
@@ -126,14 +131,15 @@ def start_change_job(
                 create_dim_tables(spark, dim_definitions(rules), database)
             facts = publishable(change_outputs(routed), order_by, "change_job")
             sink.write_batch(facts, batch_id)
-            dims.append(dim_cells(dim_rows(routed), seq), "change_job", batch_id)
+            dims.append(dim_cells(dim_rows(routed), seq, types), "change_job", batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 dims.compact(spark)
         finally:
             routed.unpersist()
             rules.unpersist()
 
-    return _start(parsed.writeStream.foreachBatch(process), "change_job", checkpoint, trigger, messages.sparkSession)
+    writer = parsed.writeStream.foreachBatch(process)
+    return _start(writer, checkpoint, trigger, messages.sparkSession)
 
 
 def rule_dead_letters(rule_changes: DataFrame, honor_deletes: bool = False) -> DataFrame:
@@ -156,11 +162,15 @@ def start_dim_job(
         if compact_every and (batch_id + 1) % compact_every == 0:
             dims.compact(batch.sparkSession)
 
-    return _start(rows.writeStream.foreachBatch(process), "dim_job", checkpoint, trigger, rows.sparkSession)
+    return _start(rows.writeStream.foreachBatch(process), checkpoint, trigger, rows.sparkSession)
 
 
 def _start(
-    writer: DataStreamWriter, name: str, checkpoint: str, trigger: Mapping, spark: SparkSession
+    writer: DataStreamWriter,
+    checkpoint: str,
+    trigger: Mapping,
+    spark: SparkSession,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    with state_settings(spark):
+    with state_settings(spark, state_partitions):
         return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,7 +22,10 @@ LANES_PER_PARTITION = 4
 
 
 def repair_is_new_stream(
-    df: DataFrame, order_by: Sequence[str] = ("seq",), ttl_ms: int | None = None
+    df: DataFrame,
+    order_by: Sequence[str] = ("seq",),
+    ttl_ms: int | None = None,
+    state_partitions: int | None = None,
 ) -> DataFrame:
     """Streaming form of ``repair_is_new``; the first row of a device may be in an earlier batch.
 
@@ -38,8 +41,8 @@ def repair_is_new_stream(
     flagged, rest = split_flagged(df)
     flagged = flagged.drop("rec")
     later = later_in_batch()(F.struct("mid", *order_by))
-    lanes = LANES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64(*order_by), F.lit(lanes)).cast("int")
+    partitions = state_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64(*order_by), F.lit(LANES_PER_PARTITION * partitions)).cast("int")
     marked = flagged.withColumn("settled", later)
     keyed = marked.withColumns(
         {
@@ -120,6 +123,12 @@ def first_visit(columns: Sequence[str], order_by: Sequence[str], ttl_ms: int | N
     return FirstVisit()
 
 
-def state_settings(spark):
-    """Scope in which stateful queries of this package must be started."""
-    return session_conf(spark, STATE_STORE)
+def state_settings(spark: SparkSession, state_partitions: int | None = None):
+    """Scope in which queries of this package must be started.
+
+    The number of state partitions is fixed by the first run of a checkpoint.
+    """
+    settings = dict(STATE_STORE)
+    if state_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    return session_conf(spark, settings)

@@ -16,7 +16,6 @@ from tidewater.plans.changes import change_outputs, routed_changes
 from tidewater.plans.logs import log_outputs, publishable
 from tidewater.schemas import DEAD_LETTER_TOPIC, RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
 from tidewater.session import shared_dir
-from tidewater.sinks.catalog import create_statement
 from tidewater.sources.feeds import change_feed, rule_feed
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
 from tidewater.sources.topics import FileTopics
@@ -204,7 +203,8 @@ def run_log_job(spark: SparkSession, sf: str) -> DataFrame:
     source = R.stage_logs(spark, sf, root)
     sink = FileTopics(f"{root}/out")
     messages = R.with_seq(source.stream(spark, RAW_LOG_TOPIC))
-    finished(jobs.start_log_job(messages, sink, f"{root}/checkpoint", ("seq",)))
+    partitions = spark.sparkContext.defaultParallelism
+    finished(jobs.start_log_job(messages, sink, f"{root}/checkpoint", ("seq",), state_partitions=partitions))
     return sink.read(spark, ".*", pattern=True)
 
 
@@ -230,7 +230,8 @@ def log_files_stream(spark, sf):
     write_daily_files(spark, sf, root)
     sink = FileTopics(f"{root}/out")
     messages = stream_log_files(spark, f"{root}/logs")
-    finished(jobs.start_log_job(messages, sink, f"{root}/checkpoint", LINE_ORDER))
+    partitions = spark.sparkContext.defaultParallelism
+    finished(jobs.start_log_job(messages, sink, f"{root}/checkpoint", LINE_ORDER, state_partitions=partitions))
     rows = sink.read(spark, "dwd_start_log,dwd_page_log")
     return rows.groupBy("topic", field("$.common.mid", "mid")).agg(
         F.count("*").alias("n"),
