@@ -70,13 +70,19 @@ def test_log_stream_equals_batch_for_any_cut_and_after_restart(spark, tmp_path,
 def test_state_may_expire(spark, tmp_path):
     folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
     add_file(spark, folder, [(0, record(0, "m", "1")), (1, record(1, "m", "1"))])
-    run_logs(spark, folder, out, checkpoint, ttl_ms=1)
+    once = {"trigger": {"once": True}, "ttl_ms": 1}
+    run_logs(spark, folder, out, checkpoint, **once)
     time.sleep(0.2)
     add_file(spark, folder, [(2, record(2, "m", "1"))])
-    run_logs(spark, folder, out, checkpoint, ttl_ms=1)
+    run_logs(spark, folder, out, checkpoint, **once)
     assert published(spark, out) == [(0, "1"), (1, "0"), (2, "1")]
 
 
+def test_expiring_state_has_no_last_batch(spark, tmp_path):
+    with pytest.raises(ValueError):
+        run_logs(spark, str(tmp_path), str(tmp_path), str(tmp_path), ttl_ms=1)
+
+
 def test_hot_devices_are_settled_before_the_shuffle(spark):
     rows = spark.range(0, 20000, 1, 2).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("mid"),

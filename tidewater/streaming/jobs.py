@@ -51,8 +51,11 @@ def start_log_job(
 
     ``messages`` has ``value`` and the ``order_by`` columns. Counts per topic are
     observed under the name ``log_outputs``. ``state_partitions`` spreads the device
-    state and cannot change once the checkpoint exists.
+    state and cannot change once the checkpoint exists. With ``ttl_ms`` the query has
+    no last batch, so it needs a trigger other than ``availableNow``.
     """
+    if ttl_ms and "availableNow" in trigger:
+        raise ValueError("state that expires needs a trigger other than availableNow")
     repaired = repair_is_new_stream(parse_logs(messages), order_by, ttl_ms, state_partitions)
     outputs = route_logs(repaired, keep=order_by)
     topics = (START_TOPIC, PAGE_TOPIC, DISPLAY_TOPIC, DEAD_LETTER_TOPIC)
