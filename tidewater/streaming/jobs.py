@@ -123,7 +123,8 @@ def start_change_job(
         spark = batch.sparkSession
         changes = rule_changes(spark)
         rules = validate_rules(bind_rules(changes), trim_columns).persist(StorageLevel.MEMORY_AND_DISK)
-        routed = route_changes(batch, current_rules(rules, honor_deletes))
+        now = current_rules(rules, honor_deletes).persist(StorageLevel.MEMORY_AND_DISK)
+        routed = route_changes(batch, now)
         # The text is needed for dead letters only; routed payloads leave the envelope behind.
         text = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
         columns = dict.fromkeys([*order_by, seq])
@@ -138,8 +139,8 @@ def start_change_job(
             if compact_every and (batch_id + 1) % compact_every == 0:
                 dims.compact(spark)
         finally:
-            routed.unpersist()
-            rules.unpersist()
+            for frame in (routed, now, rules):
+                frame.unpersist()
 
     writer = parsed.writeStream.foreachBatch(process)
     return _start(writer, checkpoint, trigger, messages.sparkSession)

@@ -13,10 +13,12 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tidewater.operators.logs import KNOWN_VISITOR, NEW_VISITOR, split_flagged, union_repaired
 from tidewater.session import session_conf
 
+# Keyed state needs RocksDB; with a changelog a commit uploads what changed, not the whole state.
 STATE_STORE = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    )
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 LANES_PER_PARTITION = 4
 
