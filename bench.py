@@ -117,6 +117,7 @@ def main() -> None:
         case()
         seconds[name], rows[name] = time.perf_counter() - started, count
     for name, (count, job) in streams.items():
+        job(f"{name}-warm-up")
         started = time.perf_counter()
         job(name)
         seconds[name], rows[name] = time.perf_counter() - started, count

@@ -34,8 +34,7 @@ class DimStore:
         """Store the merged cells of one batch, replacing an earlier try of the same batch."""
         epoch = self.epoch(cells.sparkSession)
         target = f"{self.root}/changes/epoch={epoch}/job={job}/batch_id={batch_id}"
-        merged = merge_cells(cells)
-        merged.write.mode("overwrite").partitionBy("sink_table").parquet(target)
+        _write(merge_cells(cells), target)
 
     def cells(self, spark: SparkSession) -> DataFrame:
         """All stored cells of the current epoch; several versions of a cell may occur."""
@@ -52,7 +51,17 @@ class DimStore:
     def compact(self, spark: SparkSession) -> None:
         """Merge all cells into a new base. Must not run beside a writer of this store."""
         epoch = self.epoch(spark) + 1
-        base = merge_cells(self.cells(spark))
-        base.write.mode("overwrite").partitionBy("sink_table").parquet(f"{self.root}/base/epoch={epoch}")
+        _write(merge_cells(self.cells(spark)), f"{self.root}/base/epoch={epoch}")
         finished = spark.range(1).select(F.lit(epoch).cast("bigint").alias("epoch"))
         finished.write.mode("append").parquet(f"{self.root}/epochs")
+
+
+def _write(cells: DataFrame, path: str) -> None:
+    """One folder per table, in files of a good size.
+
+    Adaptive execution gathers the cells of small tables and splits those of large ones;
+    without it they stay where they are, as gathering by table alone could fill one task.
+    """
+    if cells.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        cells = cells.hint("rebalance", "sink_table")
+    cells.write.mode("overwrite").partitionBy("sink_table").parquet(path)

@@ -37,6 +37,9 @@ from tidewater.streaming.visitors import repair_is_new_stream, state_settings
 
 AVAILABLE_NOW = {"availableNow": True}
 
+# Batches between compactions of a dimension store; None leaves compaction to its operator.
+COMPACT_EVERY = 200
+
 
 def start_log_job(
     messages: DataFrame,
@@ -101,7 +104,7 @@ def start_change_job(
     honor_deletes: bool = False,
     trim_columns: bool = False,
     types: Mapping[tuple[str, str], str] | None = None,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Envelopes to one topic per fact table and one upserted table per dimension.
 
@@ -157,7 +160,7 @@ def start_dim_job(
     checkpoint: str,
     order_by: str = "seq",
     trigger: Mapping = AVAILABLE_NOW,
-    compact_every: int | None = None,
+    compact_every: int | None = COMPACT_EVERY,
 ) -> StreamingQuery:
     """Upsert a stream of dimension rows (``sink_table, pk, payload``) alone."""
 
