@@ -11,7 +11,6 @@ import os
 import time
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewater.operators import changes as C
 from tidewater.operators import dims as D

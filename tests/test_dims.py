@@ -51,7 +51,8 @@ def test_column_names_may_clash_with_cell_fields(rows):
 def test_numbers_as_text(rows):
     df = rows((1, "d", {"id": 1, "a": 12345678901234567890, "b": True}))
     assert found(D.merge_dim(df, COLUMNS)) == {"1": ("12345678901234567890", "true")}
-    typed = D.dim_cells(rows((1, "d", {"id": 1, "a": 9.9, "b": "n/a"})), "seq", {("d", "a"): "decimal(10,2)", ("d", "b"): "decimal(10,2)"})
+    types = {("d", "a"): "decimal(10,2)", ("d", "b"): "decimal(10,2)"}
+    typed = D.dim_cells(rows((1, "d", {"id": 1, "a": 9.9, "b": "n/a"})), "seq", types)
     assert {r.column: r.value for r in typed.collect()} == {"id": "1", "a": "9.90", "b": "n/a"}
 
 
@@ -117,7 +118,9 @@ def test_catalog_tables_are_created_widened_and_published(spark, rows, tmp_path)
     schema = "sink_table string, sink_pk string, columns array<string>, sink_extend string"
     define = lambda columns: spark.createDataFrame([("dim_x", "id", columns, "compression=gzip")], schema)
     assert create_dim_tables(spark, define(["id", "a"]), "warehouse_test") == ["dim_x"]
-    create_dim_tables(spark, define(["id", "a", "b"]), "warehouse_test")
+    known = set()
+    assert create_dim_tables(spark, define(["id", "a", "b"]), "warehouse_test", known) == ["dim_x"]
+    assert create_dim_tables(spark, define(["id", "a", "b"]), "warehouse_test", known) == []
     table = spark.table("warehouse_test.dim_x")
     assert table.dtypes == [("id", "string"), ("a", "string"), ("b", "string")]
     properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES warehouse_test.dim_x").collect()}

@@ -5,7 +5,6 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import logs as L
 from tidewater.plans.logs import log_outputs
 from tidewater.session import session_conf
 from tidewater.sinks.dim_store import DimStore
@@ -148,7 +147,8 @@ def test_rules_added_between_batches_apply(spark, tmp_path):
     assert {k: v["reason"] for k, v in letters.items()} == {"2": "no_rule", "4": "bad_envelope"}
     assert json.loads(letters["2"]["value"])["tableName"] == "u" and letters["4"]["value"] == "{broken"
 
-    add_file(spark, rules, [(2, rule("u", "insert", "hbase", "dim_u", "id,a,b")), (3, rule("u", "update", "hbase", "dim_u", "id,b"))])
+    more = [rule("u", "insert", "hbase", "dim_u", "id,a,b"), rule("u", "update", "hbase", "dim_u", "id,b")]
+    add_file(spark, rules, [(2, more[0]), (3, more[1])])
     add_file(spark, folder, [(5, envelope("u", "insert", {"id": 5, "a": "O'Brien", "b": 1}))])
     add_file(spark, folder, [(6, envelope("u", "update", {"id": 5, "b": 2})), (7, envelope("u", "update", {"b": 3}))])
     sink, store = run_changes(spark, folder, rules, tmp_path, database="job_test", compact_every=2)

@@ -41,14 +41,22 @@ def create_statement(database: str, table: str, pk: str, columns: Sequence[str],
     )
 
 
-def create_dim_tables(spark: SparkSession, definitions: DataFrame, database: str) -> list[str]:
-    """Create missing tables and add missing columns; returns the table names.
+def create_dim_tables(
+    spark: SparkSession, definitions: DataFrame, database: str, known: set | None = None
+) -> list[str]:
+    """Create missing tables and add missing columns; returns the tables looked at.
 
     Definitions are one short row per table and are fetched partition by partition.
+    Those in ``known`` are passed over, and new ones are added to it, so that a job
+    which calls this for every micro-batch asks the catalog about new rules only.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    known = set() if known is None else known
     names = []
     for row in definitions.toLocalIterator():
+        definition = (database, row.sink_table, tuple(row.columns))
+        if definition in known:
+            continue
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
         table = quoted(database, row.sink_table)
         spark.sql(create_statement(database, row.sink_table, row.sink_pk, row.columns, row.sink_extend))
         present = {name.lower() for name in spark.table(table).columns}
@@ -56,6 +64,7 @@ def create_dim_tables(spark: SparkSession, definitions: DataFrame, database: str
         if missing:
             fields = ", ".join(f"{quoted(name)} STRING" for name in missing)
             spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({fields})")
+        known.add(definition)
         names.append(row.sink_table)
     return names
 

@@ -122,6 +122,8 @@ def start_change_job(
     ]
     parsed = drop_deletes(parsed.observe("changes", *counts))
 
+    tables: set = set()
+
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         changes = rule_changes(spark)
@@ -135,7 +137,7 @@ def start_change_job(
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if database:
-                create_dim_tables(spark, dim_definitions(rules), database)
+                create_dim_tables(spark, dim_definitions(rules), database, tables)
             facts = publishable(change_outputs(routed), order_by, "change_job")
             sink.write_batch(facts, batch_id)
             dims.append(dim_cells(dim_rows(routed), seq, types), "change_job", batch_id)

@@ -14,7 +14,7 @@ from tidewater.operators import logs as L
 from tidewater.operators import rules as U
 from tidewater.plans.changes import change_outputs, routed_changes
 from tidewater.plans.logs import log_outputs, publishable
-from tidewater.schemas import DEAD_LETTER_TOPIC, RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
+from tidewater.schemas import RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
 from tidewater.session import shared_dir
 from tidewater.sources.feeds import change_feed, rule_feed
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
