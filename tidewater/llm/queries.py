@@ -5,8 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.llm.jaccard_join import jaccard_classes
+from tidewater.llm.mixing import HEX_DIGITS, with_copies
+from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
+from tidewater.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,8 +21,24 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(docs).select("doc_id", "class_id", "n_links")
 
 
+def op3_token_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written to ORC files, and what a reader finds in them."""
+    path = shared_dir(spark, "tokens")
+    write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
+    return token_digest(read_token_files(spark, path))
+
+
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the target of its source and the words the mix takes of it."""
+    mixed = with_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixed.select("doc_id", "size", "source_size", "target", taken)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op3_token_orc_output": op3_token_orc_output,
+    "op8_mix_sources": op8_mix_sources,
 }
 
 # Words as the operators take them: A-Z lowered, runs of digits, a-z and non-ASCII.
@@ -51,4 +71,24 @@ links AS (SELECT a, count(*) AS n FROM e GROUP BY a),
 class AS (SELECT node, min(root) AS class_id FROM reach GROUP BY node)
 SELECT doc_id, class_id, coalesce(links.n, 0) AS n_links
 FROM documents JOIN class ON node = doc_id LEFT JOIN links ON a = doc_id""",
+    "op8_mix_sources": rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM s),
+w AS (SELECT *, 1 + (place - 1) % 3 AS weight, 3 * source_size AS cap,
+      sum(source_size) OVER () AS total, sum(1 + (place - 1) % 3) OVER () AS weights FROM r),
+b AS (SELECT *, coalesce(sum(cap) OVER before, 0) AS cap_before, coalesce(sum(weight) OVER before, 0) AS weight_before
+      FROM w WINDOW before AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+c AS (SELECT *, (total - cap_before)::DOUBLE / (weights - weight_before)::DOUBLE * weight > cap AS capped FROM b),
+u AS (SELECT *, (total - coalesce(sum(CASE WHEN capped THEN cap END) OVER (), 0))::DOUBLE
+      / (weights - coalesce(sum(CASE WHEN capped THEN weight END) OVER (), 0))::DOUBLE AS unit FROM c),
+t AS (SELECT source, source_size, CASE WHEN capped THEN cap::DOUBLE ELSE unit * weight END AS target FROM u),
+j AS (SELECT doc_id, size, source_size, target,
+      CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
+      ('0x' || substr(sha256(coalesce(doc_id::VARCHAR, 'null') || '|1'), 1, {HEX_DIGITS}))::BIGINT
+        / {float(16**HEX_DIGITS)!r} AS draw
+      FROM sized JOIN t ON sized.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+  (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken FROM j""",
 }
