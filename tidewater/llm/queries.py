@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm.decontaminate import contamination
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
@@ -28,6 +29,16 @@ def op3_token_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_token_files(spark, path))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the words and items of the benchmark that its text repeats."""
+    docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
+    found = contamination(docs, items)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the target of its source and the words the mix takes of it."""
     mixed = with_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -38,6 +49,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_token_orc_output": op3_token_orc_output,
+    "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_mix_sources": op8_mix_sources,
 }
 
@@ -71,6 +83,24 @@ links AS (SELECT a, count(*) AS n FROM e GROUP BY a),
 class AS (SELECT node, min(root) AS class_id FROM reach GROUP BY node)
 SELECT doc_id, class_id, coalesce(links.n, 0) AS n_links
 FROM documents JOIN class ON node = doc_id LEFT JOIN links ON a = doc_id""",
+    "op6_benchmark_decontamination": f"""
+WITH d AS (SELECT doc_id, {words_sql("text")} AS words FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, {words_sql("text")} AS words FROM benchmark),
+windows AS (SELECT DISTINCT item, size, unnest(list_transform(range(1, len(words) - size + 2),
+              lambda k: array_to_string(words[k:k + size - 1], ' '))) AS phrase
+            FROM (SELECT *, least(13, len(words)) AS size FROM i WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (SELECT doc_id, size, unnest(range(1, len(words) - size + 2)) AS pos,
+             unnest(list_transform(range(1, len(words) - size + 2), lambda k: array_to_string(words[k:k + size - 1], ' '))) AS phrase
+           FROM d, sizes WHERE len(words) >= size),
+found AS (SELECT doc_id, pos, p.size, item FROM places p JOIN windows w ON w.size = p.size AND w.phrase = p.phrase),
+hit AS (SELECT doc_id, count(DISTINCT word) AS n_hit
+        FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM (SELECT DISTINCT doc_id, pos, size FROM found)) GROUP BY doc_id),
+named AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN hit ON hit.doc_id = d.doc_id LEFT JOIN named ON named.doc_id = d.doc_id""",
     "op8_mix_sources": rf"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents),
