@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.llm import toxicity
 from tidewater.llm.decontaminate import contamination
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
@@ -29,6 +30,17 @@ def op3_token_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_token_files(spark, path))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with a calibrated toxicity score."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "row.doc_id", toxicity.held_out(F.col("row.doc_id")).alias("held_out"), "score",
+        (F.col("score") >= model.parameters.threshold).cast("int").alias("predicted"),
+    )
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the words and items of the benchmark that its text repeats."""
     docs, items = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "benchmark"))
@@ -49,6 +61,7 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_token_orc_output": op3_token_orc_output,
+    "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_mix_sources": op8_mix_sources,
 }
