@@ -11,6 +11,7 @@ from tidewater.llm import toxicity
 from tidewater.llm.decontaminate import contamination
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
+from tidewater.llm.paragraph_dedup import paragraph_summary
 from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
 from tidewater.session import shared_dir
 
@@ -58,12 +59,19 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the paragraphs that repeat others and the documents that keep them."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return paragraph_summary(docs).select("doc_id", "n_paragraphs", "n_repeated", "n_removed", "removed", "class_ids")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_token_orc_output": op3_token_orc_output,
     "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op8_mix_sources": op8_mix_sources,
+    "op10_paragraph_dedup": op10_paragraph_dedup,
 }
 
 # Words as the operators take them: A-Z lowered, runs of digits, a-z and non-ASCII.
