@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import toxicity
+from tidewater.llm import permutation_index, toxicity
 from tidewater.llm.decontaminate import contamination
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.paragraph_dedup import paragraph_summary
+from tidewater.llm.tables import Workspace
 from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
 from tidewater.session import shared_dir
 
@@ -52,6 +53,14 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    work = Workspace(spark, "vectors")
+    vectors = permutation_index.valid_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    index, pivots = permutation_index.build(vectors, work)
+    return permutation_index.nearest(index, pivots, index.where("vec_id % 100 = 0"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the target of its source and the words the mix takes of it."""
     mixed = with_copies(spark.read.parquet(f"{sf_dir}/documents.parquet"))
@@ -70,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op3_token_orc_output": op3_token_orc_output,
     "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
+    "op7_permutation_index": op7_permutation_index,
     "op8_mix_sources": op8_mix_sources,
     "op10_paragraph_dedup": op10_paragraph_dedup,
 }
