@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import permutation_index, toxicity
+from tidewater.llm import permutation_index, pii, toxicity
 from tidewater.llm.decontaminate import contamination
+from tidewater.llm.html_text import extract_text
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.paragraph_dedup import paragraph_summary
@@ -32,6 +33,13 @@ def op3_token_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(read_token_files(spark, path))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = pii.find_spans(docs, pii.fit(docs))
+    return found.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with a calibrated toxicity score."""
     docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
@@ -68,6 +76,12 @@ def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The visible text of every page."""
+    pages = extract_text(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "html"))
+    return pages.select("page_id", F.length("text").cast("bigint").alias("n_chars"), "text")
+
+
 def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the paragraphs that repeat others and the documents that keep them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -77,10 +91,12 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op3_token_orc_output": op3_token_orc_output,
+    "op4_personal_data": op4_personal_data,
     "op5_toxicity": op5_toxicity,
     "op6_benchmark_decontamination": op6_benchmark_decontamination,
     "op7_permutation_index": op7_permutation_index,
     "op8_mix_sources": op8_mix_sources,
+    "op9_html_text": op9_html_text,
     "op10_paragraph_dedup": op10_paragraph_dedup,
 }
 
