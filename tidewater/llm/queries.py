@@ -13,6 +13,7 @@ from tidewater.llm.html_text import extract_text
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.paragraph_dedup import paragraph_summary
+from tidewater.llm.suffix_dedup import removal_digest
 from tidewater.llm.tables import Workspace
 from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
 from tidewater.session import shared_dir
@@ -26,6 +27,11 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(docs).select("doc_id", "class_id", "n_links")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes that 400-byte strings repeat."""
+    return removal_digest(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op3_token_orc_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written to ORC files, and what a reader finds in them."""
     path = shared_dir(spark, "tokens")
@@ -90,6 +96,7 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_token_orc_output": op3_token_orc_output,
     "op4_personal_data": op4_personal_data,
     "op5_toxicity": op5_toxicity,

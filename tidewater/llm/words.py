@@ -35,7 +35,7 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=6)
 def powers(length: int, inverse: bool = False) -> np.ndarray:
     """Powers of the base of the rolling hash modulo 2**64, or of its inverse."""
     base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
