@@ -18,7 +18,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import words as W
-from tidewater.llm.tables import Workspace, grouped, partitions
+from tidewater.llm.tables import Workspace, grouped, partitions, row_key
 from tidewater.session import broadcast_if_small
 
 
@@ -48,10 +47,10 @@ class Contamination:
 
 
 # One row of the index: the postings of a word, or (with a NULL word) a document's place.
-INDEX_SCHEMA = "block bigint, word bigint, count bigint, data binary, doc_id bigint, start bigint"
+INDEX_SCHEMA = "block bigint, word bigint, count bigint, data binary, doc_id bigint, rid bigint, start bigint"
 _INDEX = pa.schema(
     [("block", pa.int64()), ("word", pa.int64()), ("count", pa.int64()), ("data", pa.binary()),
-     ("doc_id", pa.int64()), ("start", pa.int64())]
+     ("doc_id", pa.int64()), ("rid", pa.int64()), ("start", pa.int64())]
 )
 
 
@@ -101,9 +100,9 @@ def _index_blocks(p: Contamination):
             )
             for columns in (
                 [pa.array(np.full(len(word), block)), pa.array(word), pa.array(n), postings,
-                 pa.nulls(len(word), pa.int64()), pa.nulls(len(word), pa.int64())],
+                 *[pa.nulls(len(word), pa.int64())] * 3],
                 [pa.array(np.full(len(start), block)), pa.nulls(len(start), pa.int64()), pa.array(counts),
-                 pa.nulls(len(start), pa.binary()), batch.column("doc_id"), pa.array(start)],
+                 pa.nulls(len(start), pa.binary()), batch.column("doc_id"), batch.column("rid"), pa.array(start)],
             ):
                 yield pa.RecordBatch.from_arrays(columns, schema=_INDEX)
             block += 1
@@ -114,6 +113,7 @@ def _index_blocks(p: Contamination):
 def build_index(docs: DataFrame, work: Workspace, p: Contamination = Contamination()) -> DataFrame:
     """The written index over ``docs (doc_id, text)``."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = rows.withColumn("rid", row_key())
     return work.write(rows.mapInArrow(_index_blocks(p), INDEX_SCHEMA), "postings")
 
 
@@ -176,7 +176,7 @@ class _Postings(dict):
 
 def _search_blocks(p: Contamination):
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))]
+        [("doc_id", pa.int64()), ("rid", pa.int64()), ("n_words", pa.int64()), ("n_hit", pa.int64()), ("items", pa.list_(pa.string()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,12 +213,12 @@ def _search_block(table: pa.Table, p: Contamination, schema: pa.Schema) -> pa.Re
             n_hit[row] += max(0, high - max(low, reach))
             reach = max(reach, high)
     named = [sorted(items.get(row, ())) for row in range(len(start))]
-    columns = [places["doc_id"].combine_chunks(), pa.array(counts), pa.array(n_hit), pa.array(named, schema[3].type)]
+    columns = [places["doc_id"].combine_chunks(), places["rid"].combine_chunks(), pa.array(counts), pa.array(n_hit), pa.array(named, schema[4].type)]
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
 def find_phrases(index: DataFrame, phrases: DataFrame, work: Workspace, p: Contamination = Contamination()) -> DataFrame:
-    """``doc_id, n_words, n_hit, items`` for every document of the index."""
+    """``doc_id, rid, n_words, n_hit, items`` for every document of the index."""
     spark = index.sparkSession
     phrases = work.write(
         phrases.groupBy("phrase").agg(F.sort_array(F.collect_set("item")).alias("items")), "phrases"
@@ -239,25 +239,21 @@ def find_phrases(index: DataFrame, phrases: DataFrame, work: Workspace, p: Conta
     )
     probes = wanted.select("block", "word").join(broadcast_if_small(ordered), "word")
 
-    shape = {"kind": "int", "word": "bigint", "count": "bigint", "data": "binary", "doc_id": "bigint", "start": "bigint",
+    shape = {"kind": "int", "word": "bigint", "count": "bigint", "data": "binary", "doc_id": "bigint", "rid": "bigint", "start": "bigint",
              "words": "array<bigint>", "offsets": "array<int>", "items": "array<string>"}
 
     def rows(df: DataFrame, kind: int) -> DataFrame:
         fields = {name: F.col(name) if name in df.columns else F.lit(None) for name in shape} | {"kind": F.lit(kind)}
         return df.select("block", *[fields[name].cast(of).alias(name) for name, of in shape.items()])
 
-    places = index.where("word IS NULL").select("block", "count", "doc_id", "start")
+    places = index.where("word IS NULL").select("block", "count", "doc_id", "rid", "start")
     together = rows(places, 0).unionByName(rows(wanted, 1)).unionByName(rows(probes.drop("word"), 2))
     dealt = together.repartition(partitions(spark), "block").sortWithinPartitions("block")
-    return dealt.mapInArrow(_search_blocks(p), "doc_id bigint, n_words bigint, n_hit bigint, items array<string>")
-
-
-def items_digest(names: list[str]) -> str:
-    return hashlib.sha256(",".join(names).encode()).hexdigest()
+    return dealt.mapInArrow(_search_blocks(p), "doc_id bigint, rid bigint, n_words bigint, n_hit bigint, items array<string>")
 
 
 def contamination(docs: DataFrame, items: DataFrame, p: Contamination = Contamination()) -> DataFrame:
-    """``doc_id, n_words, n_hit, items, contaminated`` for every row of ``docs``."""
+    """``doc_id, rid, n_words, n_hit, items, contaminated`` for every row of ``docs``."""
     work = Workspace(docs.sparkSession, "decontaminate")
     found = find_phrases(build_index(docs, work, p), phrases_of(items, p.window), work, p)
     hit = (F.col("n_hit") > 0) & (F.lit(p.share) * F.col("n_hit") >= F.col("n_words"))
