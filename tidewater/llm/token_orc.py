@@ -29,11 +29,12 @@ from pyspark.sql.window import Window
 
 from tidewater.llm.tables import partitions, row_key
 from tidewater.llm.words import slices
+from tidewater.session import broadcast_if_small
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
-# Words whose ids a task remembers; a longer word, or one beyond that number, is encoded again.
-MEMO_WORDS, MEMO_LENGTH = 400_000, 48
+# Pieces whose ids a task remembers, and their greatest length.
+MEMO_PIECES, MEMO_LENGTH = 400_000, 48
 WRITE_OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
     "orc.bloom.filter.fpp": "0.01",
@@ -43,14 +44,23 @@ WRITE_OPTIONS = {
 }
 FILE_SCHEMA = "part int, before bigint, doc_id bigint, n_tokens bigint, ids array<int>"
 
-# A single space before a visible character always starts a new piece of the pre-tokenizer,
-# so a text may be cut there and its pieces encoded one by one.
-_CUT = re.compile(r" (?=[!-~]|\w)")
-_NO_CUT = re.compile(r" (?![!-~]|\w)")
+# How the pre-tokenizer cuts a text, for texts of ASCII and Latin letters.
+# In those, the pieces can be told without the Unicode tables of the tokenizer.
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+_PLAIN = re.compile(r"[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
+_WORD = re.compile(rf" [{_LETTERS}]+")
+# In other texts a single space before a visible character starts a new piece all the same.
+_CUT = re.compile(r"(?= [!-~]| \w)")
 
 
 class Encoder:
-    """Ids of texts through a tokenizer, remembering the ids of words."""
+    """Ids of texts through a tokenizer, remembering the ids of the pieces it cuts.
+
+    Pieces are encoded independently of one another, so the ids of a text are those of its
+    pieces. The first ``MEMO_PIECES`` pieces that a task meets are remembered; among them
+    are nearly all frequent ones. The others are encoded once for every slice of texts.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -63,32 +73,40 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(item.ids, dtype="<u4").tobytes() for item in encoded]
 
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words that begin with their space: together they are one text of such words."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 2000):
+            part = words[at : at + 2000]
+            encoded = self.tokenizer.encode("".join(part), add_special_tokens=False)
+            starts = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(encoded.ids))
+            cuts = np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(word) for word in part]))))
+            ids = np.array(encoded.ids, dtype="<u4").tobytes()
+            out += [ids[4 * a : 4 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        return out
+
+    def _pieces(self, text: str) -> list[str] | None:
+        """Parts of a text that are encoded independently; None if it holds a special token."""
+        if any(token in text for token in self.special):
+            return None
+        return _PIECE.findall(text) if _PLAIN.fullmatch(text) else _CUT.split(text)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        cut: list[list[str] | None] = []
-        for text in texts:
-            if any(token in text for token in self.special):
-                cut.append(None)
-                continue
-            pieces = _CUT.split(text) if _NO_CUT.search(text) else text.split(" ")
-            cut.append([pieces[0], *[" " + piece for piece in pieces[1:]]])
-        wanted = set().union(*[pieces for pieces in cut if pieces])
-        missing = list(wanted.difference(self.memo))
-        if len(self.memo) + len(missing) > MEMO_WORDS:
-            self.memo = {}
-            missing = list(wanted)
-        known = self.memo
-        if missing:
-            fresh = dict(zip(missing, self._ids(missing), strict=True))
-            known = known | fresh if len(fresh) > MEMO_WORDS else self.memo
-            if known is self.memo:
-                self.memo.update(fresh)
-        whole = self._ids([text for text, pieces in zip(texts, cut, strict=True) if pieces is None])
-        rest = iter(whole)
-        out = [next(rest) if pieces is None else b"".join(map(known.__getitem__, pieces)) for pieces in cut]
-        for word in missing:
-            if len(word) > MEMO_LENGTH:
-                self.memo.pop(word, None)
+        cut = [self._pieces(text) for text in texts]
+        missing = set().union(*[pieces for pieces in cut if pieces]).difference(self.memo)
+        words = [piece for piece in missing if _WORD.fullmatch(piece)]
+        others = list(missing.difference(words))
+        fresh = dict(zip(words, self._word_ids(words), strict=True))
+        fresh.update(zip(others, self._ids(others), strict=True))
+        kept, new = self.memo.get, fresh.__getitem__
+        whole = iter(self._ids([text for text, pieces in zip(texts, cut, strict=True) if pieces is None]))
+        out = [next(whole) if pieces is None else b"".join([kept(p) or new(p) for p in pieces]) for pieces in cut]
+        for piece, ids in fresh.items():
+            if len(self.memo) >= MEMO_PIECES:
+                break
+            if ids and len(piece) <= MEMO_LENGTH:
+                self.memo[piece] = ids
         return out
 
 
@@ -108,7 +126,7 @@ def _encode(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
         end = np.array([END_ID], dtype="<u4").tobytes()
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 4 << 20):
             texts = ["" if text is None else text for text in batch.column("text").to_pylist()]
             ids = [item + end for item in _encoder(path).encode(texts)]
             counts = np.array([len(item) // 4 for item in ids], dtype=np.int64)
@@ -142,7 +160,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     totals = files.groupBy("part").agg(F.sum("n_tokens").alias("total"))  # one row per file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("offset"))
-    return files.join(offsets, "part").withColumn("start", F.col("offset") + F.col("before")).drop("part", "before", "offset")
+    # One short row per file; a join of such a table must not shuffle the ids.
+    return files.join(broadcast_if_small(offsets), "part").withColumn("start", F.col("offset") + F.col("before")).drop("part", "before", "offset")
 
 
 def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
