@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidewater.llm.tables import Workspace
 from tidewater.session import broadcast_if_small
 
 # What separates words, and the digits of a digest that make a fraction.
@@ -67,7 +68,8 @@ def with_copies(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int =
     """``docs`` with ``size, source_size, target, copies``, the last how often the mix takes a row."""
     sized = docs.withColumn("size", word_count(F.col("text")))
     targets = source_targets(sized.select("source", "size"), weights, cap).withColumnRenamed("source", "_source")
-    targets = broadcast_if_small(targets)
+    # Written once: the size is measured on the table that is joined, not computed again.
+    targets = broadcast_if_small(Workspace(docs.sparkSession, "mixing").write(targets, "targets"))
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("_source")))
     whole = F.floor("rate")
     extra = (unit_interval(F.col("doc_id"), seed) < F.col("rate") - whole).cast("bigint")

@@ -10,13 +10,14 @@ the best ``share`` of the shard and reranks them by their exact distance.
 Queries are a stated set: they meet the shards in blocks, and only the best few of each
 query and shard leave a task.
 
-Defined results: a vector that is null, zero, of another length than the others, or that
+Defined results: a vector that is null, zero, of another length than most of the sample, or that
 holds null or a component that is not finite takes no part. Rows with the same id are
 different candidates; a query never finds a row with its own id. Ties go to the smaller id.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -57,7 +58,7 @@ def choose_pivots(vectors: DataFrame, p: PermutationIndex) -> np.ndarray:
     rows = draw.orderBy("draw", "vec_id").limit(p.sample).collect()
     if not rows:
         return np.zeros((0, 0))
-    size = min(len(row.vector) for row in rows)
+    size = Counter(len(row.vector) for row in rows).most_common(1)[0][0]
     points = np.array([row.vector for row in rows if len(row.vector) == size])
     points = np.unique(points, axis=0)
     chosen, far = [0], ((points - points[0]) ** 2).sum(axis=1)
