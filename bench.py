@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import time
+from statistics import median
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,6 +31,8 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 FILES = 10
 FILES_PER_BATCH = 5
+# A single run is too noisy to tell a change from chance.
+RUNS = 3
 
 
 def run(df: DataFrame) -> None:
@@ -110,16 +113,18 @@ def main() -> None:
     }
 
     seconds, rows = {}, {}
-    for name, (count, case) in cases.items():
-        case()  # warm-up
+    def timed(case) -> float:
         started = time.perf_counter()
         case()
-        seconds[name], rows[name] = time.perf_counter() - started, count
+        return time.perf_counter() - started
+
+    for name, (count, case) in cases.items():
+        case()  # warm-up
+        seconds[name], rows[name] = median(timed(case) for _ in range(RUNS)), count
     for name, (count, job) in streams.items():
         job(f"{name}-warm-up")
-        started = time.perf_counter()
-        job(name)
-        seconds[name], rows[name] = time.perf_counter() - started, count
+        seconds[name] = median(timed(lambda: job(f"{name}-{i}")) for i in range(RUNS))  # noqa: B023
+        rows[name] = count
 
     result = {
         "metric": "total_seconds",

@@ -97,3 +97,20 @@ def test_snapshot_comes_before_changes(spark, feed):
     assert [(r.seq, r.type) for r in rows] == [(-1, "read"), (0, "update")]
     assert set(rows[0].after) == {"source_table", "operate_type"}
     assert snapshot_changes(table, "d", "t", 4).first().seq == 4
+
+
+def test_wrapped_records_and_tombstones(spark):
+    from tidewater.operators.changes import drop_deletes, parse_envelopes
+    from tidewater.sources.feeds import change_feed
+
+    texts = [
+        '{"schema": {"type": "struct"}, "payload": {"op": "c", "before": null, "after": {"id": 1}}}',
+        '{"op": "d", "before": {"id": 1}, "after": null}',
+        None,
+        '{"payload": null}',
+    ]
+    rows = spark.createDataFrame([("srv.shop.t", t, i) for i, t in enumerate(texts)], "topic string, value string, seq int")
+    found = {r.seq: (r.type, r.reason, len(r.before), len(r.after)) for r in change_feed(rows).collect()}
+    assert found == {0: ("insert", None, 0, 1), 1: ("delete", None, 1, 0), 3: (None, "bad_record", 0, 0)}
+    broken = spark.createDataFrame([('{"type": "delete", "before": 5}',)], "value string")
+    assert [r.reason for r in drop_deletes(parse_envelopes(broken)).collect()] == ["bad_envelope"]

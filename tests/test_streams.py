@@ -179,6 +179,40 @@ def test_rejected_rules_are_reported(spark, tmp_path):
     assert [(r.reason, r.stage, r.seq) for r in dead] == [("pk_not_in_columns", "validate_rules", 1)]
 
 
+def test_bad_names_become_letters_and_the_job_goes_on(spark, tmp_path):
+    folder, rules = str(tmp_path / "in"), str(tmp_path / "rules")
+    named = [("a", "hbase", ""), ("b", "kafka", " "), ("c", "kafka", "dead_letter"), ("d", "hbase", "dim-user"), ("e", "hbase", "x/y")]
+    rows = [(i, rule(t, "insert", sink, target, "id,name")) for i, (t, sink, target) in enumerate(named)]
+    rows += [(7, rule("f", "insert", "hbase", "dim_f", "id,name")), (8, rule("f", "update", "hbase", "dim_f", "id,Name"))]
+    add_file(spark, rules, rows)
+    add_file(spark, folder, [(i, envelope(t, "insert", {"id": i, "name": t})) for i, t in enumerate("abcdef")])
+    sink, store = run_changes(spark, folder, rules, tmp_path, database="letters_test")
+    letters = {r.key: json.loads(r.value) for r in sink.read(spark, "dead_letter").collect()}
+    reasons = {k: v["reason"] for k, v in letters.items() if k.startswith("rule/")}
+    assert reasons == {
+        "rule/0/no_table": "no_table", "rule/1/bad_topic": "bad_topic", "rule/2/bad_topic": "bad_topic",
+        "rule/4/bad_table": "bad_table", "rule/8/column_case": "column_case",
+    }
+    assert letters["table/dim-user"]["stage"] == "create_dim_tables"
+    assert sorted(k for k, v in letters.items() if v["reason"] == "no_rule") == ["0", "1", "2", "4"]
+    assert [tuple(r) for r in store.table(spark, "dim_f", ("id", "name")).collect()] == [("5", "f")]
+    assert store.table(spark, "dim-user", ("id", "name")).count() == 1
+
+
+def test_two_jobs_share_a_sink_and_a_store(spark, tmp_path):
+    rules = str(tmp_path / "rules")
+    add_file(spark, rules, [(1, rule("t", "insert", "kafka", "facts", "id")), (2, rule("u", "insert", "hbase", "dim_u", "id"))])
+    sink, store = FileTopics(str(tmp_path / "out")), DimStore(str(tmp_path / "dims"))
+    for n in (1, 2):
+        folder = str(tmp_path / f"in{n}")
+        add_file(spark, folder, [(1, envelope("t", "insert", {"id": n})), (2, envelope("u", "insert", {"id": 10 * n}))])
+        stream = spark.readStream.schema(SCHEMA).parquet(folder)
+        checkpoint = str(tmp_path / f"checkpoint{n}")
+        jobs.start_change_job(stream, read_rules(rules), sink, store, checkpoint, order_by=("seq",)).awaitTermination()
+    assert sorted(json.loads(r.value)["id"] for r in sink.read(spark, "facts").collect()) == [1, 2]
+    assert sorted(r.id for r in store.table(spark, "dim_u", ("id",)).collect()) == ["10", "20"]
+
+
 def test_dim_stream_does_not_depend_on_the_cut(spark, tmp_path):
     rng = random.Random(5)
     changes = []

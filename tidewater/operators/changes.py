@@ -34,12 +34,18 @@ def parse_struct(value: Column, schema: str, strict: bool = False) -> Column:
 def parse_change_records(df: DataFrame) -> DataFrame:
     """Landed change texts (``topic, value``) as ``topic, op, before, after``.
 
+    A record may be the text itself or stand in its ``payload``, beside a schema.
     A text that is no change record keeps a NULL ``op`` and is reported by
     :func:`normalize_changes`.
     """
-    parsed = J.with_computed(df, record=parse_struct(F.col("value"), CHANGE_RECORD))
+    record = f"{CHANGE_RECORD}, payload struct<{CHANGE_RECORD}>"
+    parsed = J.with_computed(df, record=parse_struct(F.col("value"), record))
     good = F.col("record._bad").isNull()
-    fields = {name: F.when(good, F.col(f"record.{name}")) for name in ("op", "before", "after")}
+    inner = F.col("record.payload").isNotNull()
+    fields = {
+        name: F.when(good, F.when(inner, F.col(f"record.payload.{name}")).otherwise(F.col(f"record.{name}")))
+        for name in ("op", "before", "after")
+    }
     return parsed.withColumns(fields).drop("record")
 
 
@@ -117,5 +123,6 @@ def dirty_changes(df: DataFrame, stage: str) -> DataFrame:
 
 
 def drop_deletes(df: DataFrame) -> DataFrame:
-    """Everything but deletes; a change without a type is kept."""
-    return df.where(~F.col("type").eqNullSafe("delete"))
+    """Everything but deletes; a change without a type, or one with a ``reason``, is kept."""
+    kept = ~F.col("type").eqNullSafe("delete")
+    return df.where(kept | F.col("reason").isNotNull() if "reason" in df.columns else kept)

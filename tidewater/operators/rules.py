@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 from tidewater.functions import jsonops as J
 from tidewater.operators.changes import ENVELOPE_COLUMNS, envelope_text
 from tidewater.schemas import (
+    DEAD_LETTER_TOPIC,
     DEFAULT_PK,
     DEFAULT_TOPIC,
     DIM_SINKS,
@@ -47,8 +48,10 @@ def sink_kind(sink_type: Column) -> Column:
 def validate_rules(rules: DataFrame, trim_columns: bool = False) -> DataFrame:
     """Add ``columns`` and ``reason``; apply the defaults for key and topic.
 
-    Dimension rules need a table, distinct column names and a key among them, the
-    same key in every rule of a table. Column names match verbatim unless ``trim_columns`` is set.
+    Every rule needs the name of a table or topic that is not blank, has no slash and is not
+    reserved. Dimension rules also need distinct column names and a key among them, the same
+    key and the same spelling of a column in every rule of a table. Column names match
+    verbatim unless ``trim_columns`` is set.
     """
     columns = J.split_columns(F.col("sink_columns"))
     if trim_columns:
@@ -70,7 +73,9 @@ def validate_rules(rules: DataFrame, trim_columns: bool = False) -> DataFrame:
     reason = (
         F.when(F.col("blank"), "empty_rule")
         .when(F.col("columns").isNull(), "no_columns")
-        .when(is_dim & F.col("sink_table").isNull(), "no_table")
+        .when(is_dim & (F.trim(F.coalesce("sink_table", F.lit(""))) == ""), "no_table")
+        .when(is_dim & F.col("sink_table").contains("/"), "bad_table")
+        .when(F.col("sink_type").eqNullSafe("topic") & ~legal_topic(F.col("sink_table")), "bad_topic")
         .when(is_dim & F.array_contains("columns", F.lit("")), "empty_column")
         .when(is_dim & (F.size(F.array_distinct(names)) < F.size(names)), "duplicate_column")
         .when(is_dim & ~F.array_contains("columns", F.col("sink_pk")), "pk_not_in_columns")
@@ -78,14 +83,28 @@ def validate_rules(rules: DataFrame, trim_columns: bool = False) -> DataFrame:
     return reject_other_keys(filled.withColumn("reason", reason).drop("blank"))
 
 
+def legal_topic(name: Column) -> Column:
+    return (F.trim(name) != "") & ~name.contains("/") & (name != DEAD_LETTER_TOPIC)
+
+
 def reject_other_keys(rules: DataFrame) -> DataFrame:
-    """A dimension keeps the key of its first valid rule; rules naming another are rejected."""
+    """A dimension keeps the key, and the spelling of each column, of its first valid rule.
+
+    Rules naming another key, or a column that differs by case only, are rejected. Of rules
+    with the same ``seq`` the one with the least key or spelling counts as the first.
+    """
     is_dim = F.col("reason").isNull() & F.col("sink_type").eqNullSafe("dim")
-    keys = rules.where(is_dim).groupBy(F.col("sink_table").alias("keyed_table"))
-    keys = keys.agg(F.min_by("sink_pk", "seq").alias("table_pk"))
-    joined = rules.join(keys, is_dim & (F.col("sink_table") == F.col("keyed_table")), "left")
-    other = F.when(F.col("sink_pk") != F.col("table_pk"), "other_pk")
-    return joined.withColumn("reason", F.coalesce("reason", other)).drop("keyed_table", "table_pk")
+    named = rules.where(is_dim).select(F.col("sink_table").alias("keyed_table"), "sink_pk", "columns", "seq")
+    keys = named.groupBy("keyed_table").agg(F.min_by("sink_pk", F.struct("seq", "sink_pk")).alias("table_pk"))
+    spelled = named.select("keyed_table", "seq", F.explode("columns").alias("name"))
+    spelled = spelled.groupBy("keyed_table", F.lower("name").alias("folded"))
+    spelled = spelled.agg(F.min_by("name", F.struct("seq", "name")).alias("name"))
+    spelled = spelled.groupBy("keyed_table").agg(F.collect_set("name").alias("table_columns"))
+    tables = keys.join(spelled, "keyed_table")
+    joined = rules.join(tables, is_dim & (F.col("sink_table") == F.col("keyed_table")), "left")
+    same_case = F.size(F.array_except("columns", "table_columns")) == 0
+    other = F.when(F.col("sink_pk") != F.col("table_pk"), "other_pk").when(~same_case, "column_case")
+    return joined.withColumn("reason", F.coalesce("reason", other)).drop(*tables.columns)
 
 
 def dirty_rules(validated: DataFrame, honor_deletes: bool = False) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tidewater.sinks.dim_store import DimStore
 
@@ -42,33 +43,51 @@ def create_statement(database: str, table: str, pk: str, columns: Sequence[str],
 
 
 def create_dim_tables(
-    spark: SparkSession, definitions: DataFrame, database: str, known: set | None = None
+    spark: SparkSession,
+    definitions: DataFrame,
+    database: str,
+    known: set | None = None,
+    failures: list | None = None,
 ) -> list[str]:
     """Create missing tables and add missing columns; returns the tables looked at.
 
+    A table that the catalog refuses does not stop the others: with ``failures`` its name
+    and the error are added to that list, without it the error is raised at the end.
+
     Definitions are one short row per table and are fetched partition by partition.
     Those in ``known`` are passed over, and new ones are added to it, so that a job
     which calls this for every micro-batch asks the catalog about new rules only.
     """
     known = set() if known is None else known
+    refused = [] if failures is None else failures
     names = []
     for row in definitions.toLocalIterator():
         definition = (database, row.sink_table, tuple(row.columns))
         if definition in known:
             continue
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
-        table = quoted(database, row.sink_table)
-        spark.sql(create_statement(database, row.sink_table, row.sink_pk, row.columns, row.sink_extend))
-        present = {name.lower() for name in spark.table(table).columns}
-        missing = [name for name in row.columns if name.lower() not in present]
-        if missing:
-            fields = ", ".join(f"{quoted(name)} STRING" for name in missing)
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({fields})")
         known.add(definition)
+        try:
+            _create_dim_table(spark, database, row)
+        except AnalysisException as error:
+            refused.append((row.sink_table, error.getCondition() or "unknown"))
+            continue
         names.append(row.sink_table)
+    if failures is None and refused:
+        raise ValueError(f"tables the catalog refuses: {refused}")
     return names
 
 
+def _create_dim_table(spark: SparkSession, database: str, row: Row) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    table = quoted(database, row.sink_table)
+    spark.sql(create_statement(database, row.sink_table, row.sink_pk, row.columns, row.sink_extend))
+    present = {name.lower() for name in spark.table(table).columns}
+    missing = [name for name in row.columns if name.lower() not in present]
+    if missing:
+        fields = ", ".join(f"{quoted(name)} STRING" for name in missing)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({fields})")
+
+
 def publish_dim(spark: SparkSession, store: DimStore, database: str, table: str) -> None:
     """Write the current state of one dimension into its catalog table."""
     target = quoted(database, table)

@@ -13,8 +13,11 @@ SNAPSHOT_SEQ = -1
 
 
 def change_feed(messages: DataFrame, **options: bool) -> DataFrame:
-    """Landed change messages (``topic, value``) as envelopes with ``reason``."""
-    return normalize_changes(parse_change_records(messages), **options)
+    """Landed change messages (``topic, value``) as envelopes with ``reason``.
+
+    A message without a value is the tombstone that follows a delete, and is skipped.
+    """
+    return normalize_changes(parse_change_records(messages.where("value IS NOT NULL")), **options)
 
 
 def row_image(*columns: str) -> Column:

@@ -49,7 +49,7 @@ class KafkaTopics:
     def write_stream(self, rows: DataFrame) -> DataStreamWriter:
         return rows.writeStream.format("kafka").options(**self._write_options())
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
+    def write_batch(self, rows: DataFrame, batch_id: int, job: str = "batch") -> None:
         """At least once: a replayed batch repeats its messages under the same keys."""
         rows.write.format("kafka").options(**self._write_options()).save()
 
@@ -82,15 +82,23 @@ class FileTopics:
         """Exactly once, by the file sink's own commit log."""
         return rows.writeStream.format("parquet").option("path", self.root).partitionBy("topic")
 
-    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """Exactly once: a replayed batch replaces its own folder."""
-        target = f"{self.root}/batch_id={batch_id}"
+    def write_batch(self, rows: DataFrame, batch_id: int, job: str = "batch") -> None:
+        """Exactly once: a replayed batch replaces its own folder, and no other job's.
+
+        ``job`` must stay the same over restarts and differ between jobs that share a root.
+        """
+        target = f"{self.root}/job={job}/batch_id={batch_id}"
         rows.write.mode("overwrite").partitionBy("topic").parquet(target)
 
 
 Topics = KafkaTopics | FileTopics
 
 
+def without_repeats(rows: DataFrame) -> DataFrame:
+    """Rows read from a topic whose sink may repeat messages: one per topic and key."""
+    return rows.dropDuplicates(["topic", "key"])
+
+
 def _messages(records: DataFrame) -> DataFrame:
     text = {name: F.col(name).cast("string") for name in ("key", "value")}
     return records.withColumns(text).select(*MESSAGE_COLUMNS)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -37,8 +38,10 @@ from tidewater.streaming.visitors import repair_is_new_stream, state_settings
 
 AVAILABLE_NOW = {"availableNow": True}
 
-# Batches between compactions of a dimension store; None leaves compaction to its operator.
-COMPACT_EVERY = 200
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity that a query got with its checkpoint and keeps over restarts."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first().value)["id"]
 
 
 def start_log_job(
@@ -77,7 +80,8 @@ def start_capture_job(
     drop_nulls: bool = True,
 ) -> StreamingQuery:
     """Landed change records to envelopes in the raw change topic."""
-    feed = change_feed(messages, drop_nulls=drop_nulls)
+    tombstones = F.count_if(F.col("value").isNull()).alias("tombstones")
+    feed = change_feed(messages.observe("landed", tombstones), drop_nulls=drop_nulls)
     dead = F.col("reason").isNotNull()
     feed = feed.withColumn("raw", F.col("value"))
     texts = envelope_text(feed).withColumns(
@@ -104,7 +108,7 @@ def start_change_job(
     honor_deletes: bool = False,
     trim_columns: bool = False,
     types: Mapping[tuple[str, str], str] | None = None,
-    compact_every: int | None = COMPACT_EVERY,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Envelopes to one topic per fact table and one upserted table per dimension.
 
@@ -113,6 +117,11 @@ def start_change_job(
     one of the columns of ``messages``; ``order_by`` identifies a message. With
     ``database`` the tables named by dimension rules are created in the catalog. ``types``
     is passed to ``dim_cells``.
+
+    Rejected rules, and tables that the catalog refuses, are dead letters of the batch that
+    first meets them; after a restart they are written again under the same keys. Output
+    lies under the identity of the checkpoint, so jobs may share a sink and a store.
+    ``compact_every`` batches the store is compacted, which must have no other writer then.
     """
     parsed = parse_envelopes(messages)
     counts = [
@@ -123,6 +132,22 @@ def start_change_job(
     parsed = drop_deletes(parsed.observe("changes", *counts))
 
     tables: set = set()
+    state: dict = {"job": None, "reported": None}
+
+    def rule_letters(rules: DataFrame, failures: list) -> DataFrame:
+        bad = dirty_rules(rules, honor_deletes)
+        if state["reported"] is not None:
+            bad = bad.where(F.col("seq") > F.lit(state["reported"]))
+        key = F.concat_ws("/", F.lit("rule"), F.col("seq").cast("string"), "reason")
+        letter = F.to_json(F.struct("value", "reason", "stage", "seq"))
+        letters = bad.select(F.lit(DEAD_LETTER_TOPIC).alias("topic"), key.alias("key"), letter.alias("value"))
+        for table, condition in failures:
+            text = json.dumps({"value": table, "reason": condition, "stage": "create_dim_tables"})
+            row = rules.sparkSession.range(1).select(
+                F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.lit(f"table/{table}").alias("key"), F.lit(text).alias("value")
+            )
+            letters = letters.unionByName(row)
+        return letters
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -135,12 +160,15 @@ def start_change_job(
         columns = dict.fromkeys([*order_by, seq])
         routed = routed.select(*columns, "sink_type", "sink_table", "pk", "payload", "reason", text)
         routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        state["job"] = state["job"] or checkpoint_id(spark, checkpoint)
+        failures: list = []
         try:
             if database:
-                create_dim_tables(spark, dim_definitions(rules), database, tables)
+                create_dim_tables(spark, dim_definitions(rules), database, tables, failures)
             facts = publishable(change_outputs(routed), order_by, "change_job")
-            sink.write_batch(facts, batch_id)
-            dims.append(dim_cells(dim_rows(routed), seq, types), "change_job", batch_id)
+            sink.write_batch(facts.unionByName(rule_letters(rules, failures)), batch_id, state["job"])
+            dims.append(dim_cells(dim_rows(routed), seq, types), state["job"], batch_id)
+            state["reported"] = rules.agg(F.max("seq").alias("seq")).first().seq
             if compact_every and (batch_id + 1) % compact_every == 0:
                 dims.compact(spark)
         finally:
@@ -162,12 +190,15 @@ def start_dim_job(
     checkpoint: str,
     order_by: str = "seq",
     trigger: Mapping = AVAILABLE_NOW,
-    compact_every: int | None = COMPACT_EVERY,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Upsert a stream of dimension rows (``sink_table, pk, payload``) alone."""
 
+    state: dict = {"job": None}
+
     def process(batch: DataFrame, batch_id: int) -> None:
-        dims.append(dim_cells(batch, order_by), "dim_job", batch_id)
+        state["job"] = state["job"] or checkpoint_id(batch.sparkSession, checkpoint)
+        dims.append(dim_cells(batch, order_by), state["job"], batch_id)
         if compact_every and (batch_id + 1) % compact_every == 0:
             dims.compact(batch.sparkSession)
 
