@@ -340,3 +340,22 @@ cells AS (
 SELECT 'dim_customer' AS sink_table, CAST(pk AS VARCHAR) AS pk, col AS column,
        arg_max_null(text, seq) AS text, max(seq) AS seq
 FROM cells GROUP BY pk, col"""
+ORACLES["change_job_two_runs"] = SHOP + """
+SELECT CASE type WHEN 'insert' THEN 'dwd_orders' ELSE 'dwd_orders_upd' END AS topic, count(*) AS n,
+       count(DISTINCT seq) AS keys, CAST(sum(seq) AS BIGINT) AS ids
+FROM kept WHERE tbl = 'orders' AND type IN ('insert', 'update') GROUP BY 1
+UNION ALL SELECT 'dead_letter', count(*), count(*), NULL FROM dead
+UNION ALL SELECT 'dim_customer', count(*), count(*), CAST(sum(seq) AS BIGINT)
+FROM kept WHERE tbl = 'customer' AND type IN ('insert', 'update')"""
+ORACLES["capture_wrapped_records"] = CUSTOMERS + """
+SELECT seq, 'shop' AS database, 'customer' AS "tableName", type,
+       CASE WHEN type <> 'delete' THEN c_name END AS c_name, CAST(NULL AS VARCHAR) AS reason
+FROM changes"""
+ORACLES["rules_bad_names"] = """
+WITH r AS (SELECT CAST(n_nationkey AS BIGINT) AS seq, n_nationkey % 2 = 0 AS is_topic, n_nationkey % 5 AS k FROM nation)
+SELECT seq, CASE WHEN is_topic THEN 'topic' ELSE 'dim' END AS sink_type,
+       CASE k WHEN 0 THEN '' WHEN 1 THEN ' ' WHEN 2 THEN 'dead_letter' WHEN 3 THEN 'a/b' ELSE 'good' END AS sink_table,
+       CASE WHEN is_topic AND k < 4 THEN 'bad_topic' WHEN NOT is_topic AND k < 2 THEN 'no_table'
+            WHEN NOT is_topic AND k = 3 THEN 'bad_table'
+            WHEN NOT is_topic AND k = 4 AND seq = 19 THEN 'column_case' END AS reason
+FROM r"""

@@ -542,18 +542,22 @@ def dim_merge_stream(spark, sf):
     return typed_customer(store.table(spark, "dim_customer", CUSTOMER_COLUMNS))
 
 
-def run_change_job(spark: SparkSession, sf: str):
+def run_change_job(spark: SparkSession, sf: str, runs: int = 1):
+    """The change job over all changes, or several jobs over a share each, on one sink and store."""
     root = shared_dir(spark, "change_job")
-    source, sink, store = FileTopics(f"{root}/ods"), FileTopics(f"{root}/out"), R.dim_store(root)
+    sink, store = FileTopics(f"{root}/out"), R.dim_store(root)
     texts = C.envelope_text(change_feed(R.shop_changes(spark, sf)))
     key = F.concat_ws("/", "tableName", F.col("seq").cast("string")).alias("key")
-    source.write_batch(texts.select(F.lit(RAW_CHANGE_TOPIC).alias("topic"), key, "value"), 0)
-    messages = source.stream(spark, RAW_CHANGE_TOPIC)
-    messages = messages.withColumn("seq", F.split("key", "/")[1].cast("bigint"))
-    job = jobs.start_change_job(
-        messages, R.rule_changes, sink, store, f"{root}/checkpoint", order_by=("key",)
-    )
-    finished(job)
+    for run in range(runs):
+        source = FileTopics(f"{root}/ods-{run}")
+        share = texts.where(F.pmod(F.floor(F.col("seq") / 4), F.lit(runs)) == run)
+        source.write_batch(share.select(F.lit(RAW_CHANGE_TOPIC).alias("topic"), key, "value"), 0)
+        messages = source.stream(spark, RAW_CHANGE_TOPIC)
+        messages = messages.withColumn("seq", F.split("key", "/")[1].cast("bigint"))
+        job = jobs.start_change_job(
+            messages, R.rule_changes, sink, store, f"{root}/checkpoint-{run}", order_by=("key",)
+        )
+        finished(job)
     return sink, store
 
 
@@ -571,3 +575,45 @@ def change_job_dims(spark, sf):
     _, store = run_change_job(spark, sf)
     columns = ("c_custkey", "c_name", "c_mktsegment", "c_acctbal")
     return typed_customer(store.table(spark, "dim_customer", columns))
+
+
+@query
+def change_job_two_runs(spark, sf):
+    """Two jobs with checkpoints of their own on one sink and one store; both stay."""
+    sink, store = run_change_job(spark, sf, runs=2)
+    order = F.try_variant_get(F.try_parse_json("value"), "$.o_orderkey", "bigint")
+    facts = sink.read(spark, ".*", pattern=True).select("topic", "key", order.alias("id"))
+    dims = store.table(spark, "dim_customer", ("c_custkey", "c_name"))
+    dims = dims.select(F.lit("dim_customer").alias("topic"), F.col("c_custkey").alias("key"), F.col("c_custkey").cast("bigint").alias("id"))
+    found = facts.unionByName(dims).groupBy("topic")
+    return found.agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys"), F.sum("id").alias("ids"))
+
+
+@query
+def capture_wrapped_records(spark, sf):
+    """Records inside a payload, and a tombstone after each delete, which is skipped."""
+    raw = R.raw_changes(spark, sf, "customer", "c_custkey")
+    text = F.concat(F.lit('{"schema": {"type": "struct"}, "payload": '), F.col("value"), F.lit("}"))
+    wrapped = raw.withColumn("value", text)
+    feed = change_feed(wrapped.unionByName(wrapped.withColumn("value", F.lit(None).cast("string"))))
+    name = F.when(F.col("type") != "delete", J.path_string(F.col("after")["c_name"])).alias("c_name")
+    return feed.select("seq", "database", "tableName", "type", name, "reason")
+
+
+@query
+def rules_bad_names(spark, sf):
+    """Rules whose table or topic cannot be written are rejected, with the reason."""
+    n = F.col("n_nationkey").cast("bigint")
+    names = F.array(*map(F.lit, ("", " ", "dead_letter", "a/b", "good")))
+    fields = {
+        "source_table": F.concat(F.lit("t"), n.cast("string")),
+        "operate_type": F.lit("insert"),
+        "sink_type": F.when(n % 2 == 0, "kafka").otherwise("hbase"),
+        "sink_table": F.element_at(names, (n % 5 + 1).cast("int")),
+        "sink_columns": F.when(n == 19, "id,Name").otherwise("id,name"),
+    }
+    image = F.create_map(*[part for name, value in fields.items() for part in (F.lit(name), J.to_variant(value))])
+    changes = R.table(spark, sf, "nation").select(
+        image.alias("after"), J.empty_object().alias("before"), F.lit("insert").alias("type"), n.alias("seq")
+    )
+    return U.validate_rules(U.bind_rules(changes)).select("seq", "sink_type", "sink_table", "reason")
