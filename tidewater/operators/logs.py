@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import jsonops as J
 from tidewater.schemas import DEAD_LETTER_TOPIC, DISPLAY_TOPIC, PAGE_TOPIC, START_TOPIC
+from tidewater.session import broadcasts_enabled, measured, shared_dir
 
 NEW_VISITOR = "1"
 KNOWN_VISITOR = "0"
@@ -47,10 +48,14 @@ def dirty_logs(parsed: DataFrame) -> DataFrame:
     return bad.withColumn("stage", F.lit("parse_logs"))
 
 
+def is_flagged() -> Column:
+    """Whether a row claims a new visitor."""
+    return F.col("is_new").eqNullSafe(NEW_VISITOR) & F.col("mid").isNotNull()
+
+
 def split_flagged(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows that claim a new visitor, and all other rows."""
-    flagged = F.col("is_new").eqNullSafe(NEW_VISITOR) & F.col("mid").isNotNull()
-    return df.where(flagged), df.where(~flagged)
+    return df.where(is_flagged()), df.where(~is_flagged())
 
 
 def first_order(order_by: Sequence[str]) -> Column:
@@ -63,21 +68,32 @@ def first_order(order_by: Sequence[str]) -> Column:
 def repair_is_new(df: DataFrame, order_by: Sequence[str] = ("seq",)) -> DataFrame:
     """Keep ``is_new = '1'`` on the first such row of a device, set later ones to ``'0'``.
 
-    ``order_by`` must identify a row within its device. Adds ``repaired``. Only rows
-    that claim a new visitor are shuffled. The first order key per device comes from a
-    partially aggregated minimum, and the join key is (device, order key), so a device
-    with a large share of the rows is spread over all tasks. A parsed ``rec`` is rebuilt
-    after the exchange rather than sent through it.
+    ``order_by`` must identify a row within its device. Adds ``repaired``. The first order
+    key per device is a partially aggregated minimum, written to the shared folder, so the
+    input is scanned once for it and once for the result. When the minima are small they
+    are broadcast and nothing is shuffled. Otherwise rows join on (device, order key), which
+    spreads a device with a large share of the rows over all tasks, and a parsed ``rec`` is
+    rebuilt after the exchange rather than sent through it.
     """
-    flagged, rest = split_flagged(df)
-    firsts = flagged.groupBy(F.col("mid").alias("first_mid")).agg(first_order(order_by).alias("first"))
+    spark = df.sparkSession
+    flagged = is_flagged()
+    firsts = df.where(flagged).groupBy(F.col("mid").alias("first_mid")).agg(first_order(order_by).alias("first"))
     firsts = firsts.select("first_mid", *[F.col(f"first.{c}").alias(f"first_{c}") for c in order_by])
-    same_row = F.col("mid") == F.col("first_mid")
+    side, small = firsts, False
+    if broadcasts_enabled(spark):  # otherwise there is nothing to measure
+        path = shared_dir(spark, "first_visits")
+        firsts.write.parquet(path)
+        side, small = measured(spark.read.schema(firsts.schema).parquet(path))
+    # A plain comparison: the null-safe one would become a key of the join.
+    same_row = (F.col("is_new") == NEW_VISITOR) & (F.col("mid") == F.col("first_mid"))
     for name in order_by:
         same_row &= F.col(name).eqNullSafe(F.col(f"first_{name}"))
-    checked = flagged.drop("rec").join(firsts, same_row, "left")
-    checked = with_repair(checked, F.col("first_mid").isNull()).drop(*firsts.columns)
-    return union_repaired(df, checked, rest)
+    rows = df if small else df.drop("rec")
+    joined = rows.join(side, same_row, "left")
+    repaired = with_repair(joined, flagged & F.col("first_mid").isNull()).drop(*firsts.columns)
+    if "rec" in df.columns and not small:
+        repaired = J.with_computed(repaired, rec=J.parse_text(F.col("value")))
+    return repaired.select(*df.columns, "repaired")
 
 
 def with_repair(df: DataFrame, is_later: Column) -> DataFrame:

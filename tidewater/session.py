@@ -53,12 +53,25 @@ def read_if_exists(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def broadcasts_enabled(spark: SparkSession) -> bool:
+    return not spark.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+
+
+def measured(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> tuple[DataFrame, bool]:
+    """``df``, with a broadcast hint when its measured size is within the limit, and whether it is.
+
+    Measuring runs one small aggregation over ``df``.
+    """
+    width = F.octet_length(F.to_json(F.struct("*")))
+    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
+    small = size <= limit_bytes
+    return F.broadcast(df) if small else df, small
+
+
 def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """``df`` with a broadcast hint when its measured size is within the limit.
 
     Larger inputs come back without the hint, so the join runs as a shuffle join
-    with adaptive skew handling. Measuring runs one small aggregation over ``df``.
+    with adaptive skew handling.
     """
-    width = F.octet_length(F.to_json(F.struct("*")))
-    size = df.agg(F.sum(width).alias("bytes")).first()["bytes"] or 0
-    return F.broadcast(df) if size <= limit_bytes else df
+    return measured(df, limit_bytes)[0]
