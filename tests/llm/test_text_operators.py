@@ -8,7 +8,7 @@ from tests.llm import helpers as H
 from tidewater.llm import words as W
 from tidewater.llm.decontaminate import Contamination, contamination, decode_postings, encode_postings
 from tidewater.llm.jaccard_join import JaccardJoin, jaccard_classes, keep_one_per_class, least_matches
-from tidewater.llm.paragraph_dedup import Paragraphs, paragraph_summary
+from tidewater.llm.paragraph_dedup import Paragraphs, keys_and_bands, paragraph_summary, sets_of
 from tidewater.llm.paragraph_dedup import without_repeats as without_paragraphs
 from tidewater.llm.suffix_dedup import Repeats, removal_digest
 from tidewater.llm.suffix_dedup import without_repeats as without_strings
@@ -43,7 +43,7 @@ def test_words_of_a_column():
     assert np.diff(rows).tolist() == [len(H.words(t)) for t in texts]
     names = [w for t in texts for w in H.words(t)]
     assert len(set(hashes.tolist())) == len(set(names))
-    assert hashes[0] == hashes[6] and hashes[2] != hashes[5]
+    assert hashes[0] == hashes[6] and hashes[2] == hashes[5] != hashes[0]
 
 
 def test_posterior_bounds():
@@ -173,3 +173,18 @@ def test_paragraphs(spark):
     left = [line for r in cleaned.collect() for line in (r.text or "").split("\n") if len(H.words(line)) >= p.min_words]
     assert not H.similar([H.shingles(line) for line in left])
     assert {r.doc_id for r in cleaned.where("text IS NULL").collect()} == {1}
+
+
+def test_sets_of_many_ranges():
+    rnd = np.random.default_rng(3)
+    words = W.mix(rnd.integers(0, 6, 300).astype(np.uint64))
+    starts = np.sort(rnd.integers(0, 280, 40))
+    ends = starts + rnd.integers(1, 20, 40)
+    values, begin = sets_of(words, starts, ends, 5)
+    p = Paragraphs()
+    low, high, bands = keys_and_bands(values, begin, p)
+    for i, (a, b) in enumerate(zip(starts, ends, strict=True)):
+        one = W.distinct(W.shingles(words[a:b], 5))
+        assert values[begin[i] : begin[i] + len(one)].tolist() == one.tolist()
+        assert (low[i], high[i]) == W.set_key(one)
+        assert bands[i].tolist() == W.band_keys(W.minhash(one, p.bands * p.rows, p.seed), p.rows).tolist()

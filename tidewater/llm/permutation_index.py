@@ -11,8 +11,8 @@ Queries are a stated set: they meet the shards in blocks, and only the best few
 query and shard leave a task.
 
 Defined results: a vector that is null, zero, of another length than most of the sample, or that
-holds null or a component that is not finite takes no part. Rows with the same id are
-different candidates; a query never finds a row with its own id. Ties go to the smaller id.
+holds null or a component that is not finite takes no part. Rows that share an id count as
+one, at their nearest; a query never finds a row with its own id. Ties go to the smaller id.
 """
 
 from __future__ import annotations
@@ -178,5 +178,6 @@ def nearest(index: DataFrame, pivots: np.ndarray, queries: DataFrame, k: int = 1
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("query_block"), F.lit(False).alias("is_query"))
     together = held.unionByName(asked).repartition(partitions(spark), "shard", "query_block").sortWithinPartitions("shard", "query_block")
     found = together.mapInArrow(_search(len(pivots), k, p), "query_id bigint, vec_id bigint, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
