@@ -161,7 +161,7 @@ def test_few_and_no_vectors(spark):
 def test_targets_and_copies(spark):
     sizes = {"a": 1000, "b": 10, "c": 5000, "d": 40, None: 300, "e": 0}
     rows = [(i, "w " * 10, name) for name, size in sizes.items() for i in range(size // 10)] + [(9000, None, "e"), (None, "", "e")]
-    docs = spark.createDataFrame([(*row, "k") for row in rows], DOC + ", source string, copies string").drop("copies")
+    docs = spark.createDataFrame([(*row, "k", "r") for row in rows], DOC + ", source string, copies string, rate string")
     targets = {r.source: r for r in source_targets(with_copies(docs).select("source", "size")).collect()}
     weight = {name: 1 + i % 3 for i, name in enumerate(["a", "b", "c", "d", "e", None])}
     # shares by weight, held at three times the size, the excess going to the others
@@ -181,7 +181,7 @@ def test_targets_and_copies(spark):
     for name in ("a", "c", None):
         assert abs(taken[name] - targets[name].target) < 0.15 * targets[name].target
     mix = mixed(docs)
-    assert mix.columns == docs.columns
+    assert mix.columns == docs.columns and {(r.copies, r.rate) for r in mix.collect()} == {("k", "r")}
     assert H.by_text(mix.collect()) == H.by_text(mixed(docs.repartition(7)).collect())
     assert mixed(docs.where("false")).count() == 0
 

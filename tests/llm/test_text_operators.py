@@ -64,6 +64,7 @@ def test_one_document_of_each_class_stays(spark, copies):
     kept = keep_one_per_class(docs)
     assert kept.columns == docs.columns
     rows = [(row.doc_id, row.text) for row in kept.collect()]
+    assert {(row.rid, row.low) for row in kept.collect()} == {("s", 7)}
     assert not H.similar([H.shingles(text) for _, text in rows])
     assert len(rows) == len(set(H.components(len(copies), H.similar([H.shingles(t) for _, t in copies]))))
 

@@ -65,8 +65,11 @@ def unit_interval(key: Column, seed: int) -> Column:
 
 
 def with_copies(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: int = 1) -> DataFrame:
-    """``docs`` with ``size, source_size, target, copies``, the last how often the mix takes a row."""
-    sized = docs.withColumn("size", word_count(F.col("text")))
+    """``doc_id, source, size, source_size, target, copies`` and ``row``, the columns of ``docs``.
+
+    ``copies`` says how often the mix takes a row.
+    """
+    sized = docs.select("doc_id", "source", F.struct("*").alias("row"), word_count(F.col("text").cast("string")).alias("size"))
     targets = source_targets(sized.select("source", "size"), weights, cap).withColumnRenamed("source", "_source")
     # Written once: the size is measured on the table that is joined, not computed again.
     targets = broadcast_if_small(Workspace(docs.sparkSession, "mixing").write(targets, "targets"))
@@ -79,4 +82,4 @@ def with_copies(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int =
 def mixed(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), cap: int = 3, seed: int = 1) -> DataFrame:
     """The mix itself: every row as often as it is taken."""
     taken = with_copies(docs, weights, cap, seed).where("copies > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
