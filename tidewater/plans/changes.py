@@ -15,6 +15,7 @@ from tidewater.operators.rules import (
     validate_rules,
 )
 from tidewater.schemas import DEAD_LETTER_TOPIC
+from tidewater.sources.topics import without_repeats
 
 
 def routed_changes(
@@ -35,3 +36,19 @@ def change_outputs(routed: DataFrame) -> DataFrame:
     topic = F.when(dead, DEAD_LETTER_TOPIC).otherwise(F.col("sink_table"))
     value = F.when(dead, F.col("value")).otherwise(F.to_json("payload"))
     return rows.withColumns({"topic": topic, "value": value})
+
+
+def waiting_changes(letters: DataFrame) -> DataFrame:
+    """Dead letters (rows of their topic) that only lacked a rule, as messages ``key, value``."""
+    letter = F.from_json("value", "value string, reason string")
+    rows = letters.withColumn("letter", letter).where("letter.reason = 'no_rule'")
+    return rows.select("key", F.col("letter.value").alias("value"))
+
+
+def replayed_changes(letters: DataFrame, rule_changes: DataFrame, honor_deletes: bool = False) -> DataFrame:
+    """Dead letters without a rule, routed by the rules that have arrived since.
+
+    Letters that still have none keep the reason. Each is told by its ``key``, the one the
+    message had; repeats of an at-least-once topic are dropped first.
+    """
+    return routed_changes(waiting_changes(without_repeats(letters)), rule_changes, honor_deletes=honor_deletes)

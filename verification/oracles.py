@@ -359,3 +359,11 @@ SELECT seq, CASE WHEN is_topic THEN 'topic' ELSE 'dim' END AS sink_type,
             WHEN NOT is_topic AND k = 3 THEN 'bad_table'
             WHEN NOT is_topic AND k = 4 AND seq = 19 THEN 'column_case' END AS reason
 FROM r"""
+ORACLES["dead_letter_replay"] = SHOP + """
+SELECT tbl || '/' || seq AS key,
+       CASE WHEN type <> 'read' THEN 'dim_customer' END AS sink_table,
+       CASE WHEN type <> 'read' THEN CAST(seq AS VARCHAR) END AS pk,
+       CASE WHEN type <> 'read' THEN 3 ELSE 0 END AS n_columns,
+       CASE WHEN type = 'read' THEN 'no_rule' END AS reason
+FROM kept WHERE tbl = 'customer'
+UNION ALL SELECT tbl || '/' || seq, NULL, NULL, 0, reason FROM dead WHERE tbl <> 'customer' AND reason = 'no_rule'"""

@@ -12,7 +12,7 @@ from tidewater.operators import changes as C
 from tidewater.operators import dims as D
 from tidewater.operators import logs as L
 from tidewater.operators import rules as U
-from tidewater.plans.changes import change_outputs, routed_changes
+from tidewater.plans.changes import change_outputs, replayed_changes, routed_changes
 from tidewater.plans.logs import log_outputs, publishable
 from tidewater.schemas import RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
 from tidewater.session import shared_dir
@@ -617,3 +617,16 @@ def rules_bad_names(spark, sf):
         image.alias("after"), J.empty_object().alias("before"), F.lit("insert").alias("type"), n.alias("seq")
     )
     return U.validate_rules(U.bind_rules(changes)).select("seq", "sink_type", "sink_table", "reason")
+
+
+@query
+def dead_letter_replay(spark, sf):
+    """Changes that came before their rule, written as dead letters and routed afterwards."""
+    topics = FileTopics(shared_dir(spark, "replay"))
+    raw = C.envelope_text(change_feed(R.shop_changes(spark, sf))).select("seq", "value", "tableName")
+    early = R.rule_changes(spark).where(J.path_string(F.col("after")["source_table"]) != "customer")
+    letters = change_outputs(routed_changes(raw, early)).where("reason IS NOT NULL")
+    topics.write_batch(publishable(letters, ("tableName", "seq"), "change_job"), 0, "first")
+    topics.write_batch(publishable(letters, ("tableName", "seq"), "change_job"), 0, "repeated")
+    found = replayed_changes(topics.read(spark, "dead_letter"), R.rule_changes(spark))
+    return found.select("key", "sink_table", "pk", F.size("payload").alias("n_columns"), "reason")
