@@ -181,8 +181,9 @@ def exact_pairs(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, thr
     common = np.zeros((len(used), len(used)), dtype=np.float32)
     order = np.argsort(term, kind="stable")
     term, holder = term[order], holder[order]
-    columns = max(1, (8 << 20) // len(used))
-    for at in range(0, int(term[-1]) + 1 if len(term) else 0, columns):
+    terms = int(term[-1]) + 1 if len(term) else 0
+    columns = max(1, min(terms, (8 << 20) // len(used)))
+    for at in range(0, terms, columns):
         low, high = np.searchsorted(term, (at, at + columns))
         part = np.zeros((len(used), columns), dtype=np.float32)
         part[holder[low:high], term[low:high] - at] = 1
@@ -293,9 +294,9 @@ def keep_one_per_class(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataF
     """The row of each class with the smallest ``doc_id``; all columns of ``docs`` stay."""
     found = jaccard_classes(docs, p)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = kept.groupBy("rid").agg(F.max("class_id").alias("_class"), F.count("*").alias("_rows"))
-    rows = docs.withColumn("rid", row_key("doc_id", "text")).join(kept, "rid")
+    kept = kept.groupBy(F.col("rid").alias("_row_key")).agg(F.max("class_id").alias("_class"), F.count("*").alias("_rows"))
+    rows = docs.withColumn("_row_key", row_key("doc_id", "text")).join(kept, "_row_key")
     rows = rows.where(F.col("doc_id").eqNullSafe(F.col("_class")))
     single = rows.where("_rows = 1 OR coalesce(text, '') = ''")
-    repeated = rows.where("_rows > 1 AND coalesce(text, '') <> ''").dropDuplicates(["rid"])
+    repeated = rows.where("_rows > 1 AND coalesce(text, '') <> ''").dropDuplicates(["_row_key"])
     return single.unionByName(repeated).select(*docs.columns)
