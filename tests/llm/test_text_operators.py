@@ -176,6 +176,18 @@ def test_paragraphs(spark):
     assert {r.doc_id for r in cleaned.where("text IS NULL").collect()} == {1}
 
 
+def test_short_paragraphs(spark):
+    rnd = random.Random(8)
+    short = [sentence(rnd, n) for n in (5, 6, 8, 12, 19)]
+    near = " ".join(short[4].split()[:-1])  # 14 of 15 shingles
+    rows = [(i, "\n".join([sentence(rnd, 30), *short, "too short here"])) for i in range(3)] + [(3, near)]
+    found = {r.doc_id: r for r in paragraph_summary(spark.createDataFrame(rows, DOC)).collect()}
+    assert (found[0].n_repeated, found[0].removed) == (5, [])
+    for i in (1, 2):
+        assert (found[i].n_repeated, found[i].removed, found[i].class_ids) == (5, [1, 2, 3, 4, 5], [0])
+    assert found[3].removed == [0]
+
+
 def test_sets_of_many_ranges():
     rnd = np.random.default_rng(3)
     words = W.mix(rnd.integers(0, 6, 300).astype(np.uint64))
