@@ -8,7 +8,7 @@ from tests.llm import helpers as H
 from tidewater.llm import words as W
 from tidewater.llm.decontaminate import Contamination, contamination, decode_postings, encode_postings
 from tidewater.llm.jaccard_join import JaccardJoin, jaccard_classes, keep_one_per_class, least_matches
-from tidewater.llm.paragraph_dedup import Paragraphs, keys_and_bands, paragraph_summary, sets_of
+from tidewater.llm.paragraph_dedup import Paragraphs, keys_and_bands, kept_text, paragraph_summary, pieces_of, sets_of
 from tidewater.llm.paragraph_dedup import without_repeats as without_paragraphs
 from tidewater.llm.suffix_dedup import Repeats, removal_digest
 from tidewater.llm.suffix_dedup import without_repeats as without_strings
@@ -188,6 +188,52 @@ def test_short_paragraphs(spark):
     assert found[3].removed == [0]
 
 
+def test_passages_inside_and_over_lines(spark):
+    rnd = random.Random(11)
+    text = lambda n: sentence(rnd, n, 100_000)
+    shared, other = text(51).split(), text(90)
+    over = "\n".join(" ".join(shared[i : i + 3]) for i in range(0, 51, 3))
+    rows = [
+        (1, text(300) + " " + " ".join(shared) + " " + text(200)), (2, text(80) + " " + " ".join(shared) + " " + text(300)),
+        (3, text(40) + "\n" + over + "\n" + text(40)), (4, text(500)), (5, other), (6, text(70) + " " + other), (7, "\n".join(["a b", *over.split("\n")])),
+        (8, "é " * 3 + text(60) + "\n" + text(30) + " " + " ".join(shared)), (9, None), (9, "word"),
+    ]
+    rows.append((None, rows[1][1]))
+    docs = spark.createDataFrame(rows, DOC)
+    found = {(r.doc_id): r for r in paragraph_summary(docs).collect()}
+    kept = {(r.doc_id, r.text and len(r.text)): r.text for r in without_paragraphs(docs).collect()}
+    # The row without an id comes first; its line is also that of document 2.
+    assert found[2].n_removed == 1 and not found[2].passages and found[4].n_passages == 0 and found[None].n_passages > 0
+    for doc_id in (1, 3, 6, 7, 8):
+        row, whole = found[doc_id], dict(rows[:8])[doc_id].encode()
+        assert row.n_removed == 0 and row.n_passages == 1 and len(row.passages) == 1
+        cut = H.words(whole[row.passages[0].start : row.passages[0].end].decode())
+        inside = H.words(other) if doc_id == 6 else shared
+        assert len(cut) >= 16 and " ".join(cut) in " ".join(inside)
+    assert found[6].passage_ids == [5] and found[5].n_passages == 1 and not found[5].passages
+    cleaned = {doc_id: text for (doc_id, _), text in kept.items()}
+    assert cleaned[None] == rows[1][1] and cleaned[2] == "" and cleaned[4] == rows[3][1] and len(H.words(cleaned[1])) <= 551 - 16
+
+
+def test_pieces_of_shared_passages():
+    rnd, p = np.random.default_rng(2), Paragraphs()
+    for _ in range(300):
+        shared = rnd.integers(0, 1 << 60, 51)
+        texts = [np.concatenate((rnd.integers(0, 1 << 60, rnd.integers(0, 60)), shared, rnd.integers(0, 1 << 60, rnd.integers(0, 60)))) for _ in range(2)]
+        rows = np.cumsum([0, len(texts[0]), 0, 3, len(texts[1])])
+        row, first, stop, compared, key = pieces_of(np.concatenate((*texts[:1], shared[:3], *texts[1:])).astype(np.uint64), rows, p)
+        assert set(row) == {0, 3} and (np.diff(first) > 0).all() and (stop[:-1][row[1:] == row[:-1]] == first[1:][row[1:] == row[:-1]]).all()
+        assert first[0] == 0 and stop[-1] == rows[-1] and stop[row == 0][-1] == rows[1] and compared.max() <= p.window + p.width - 1
+        common = np.isin(key[row == 0], key[row == 3])
+        assert (compared[row == 0][common] - p.width + 1).sum() + p.width - 1 >= p.passage
+
+
+def test_kept_text():
+    assert kept_text("a b c d", [], [{"start": 2, "end": 5}]) == "a  d"
+    assert kept_text("one two\nthree\n\nfour five\nsix", [4], [{"start": 4, "end": 19}]) == "one \n five"
+    assert kept_text("é x\ny", [1], [{"start": 0, "end": 2}]) == " x"
+
+
 def test_sets_of_many_ranges():
     rnd = np.random.default_rng(3)
     words = W.mix(rnd.integers(0, 6, 300).astype(np.uint64))

@@ -89,9 +89,9 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with the paragraphs that repeat others and the documents that keep them."""
+    """Every document with the paragraphs and passages that repeat others and the documents that keep them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return paragraph_summary(docs).select("doc_id", "n_paragraphs", "n_repeated", "n_removed", "removed", "class_ids")
+    return paragraph_summary(docs).drop("rid")
 
 
 QUERIES: dict[str, Query] = {
