@@ -147,6 +147,30 @@ def test_nearest_neighbours(spark, shard):
     assert set(found.query_id) == set(ids[ids % 100 == 0])
 
 
+def test_a_third_of_equal_vectors(spark):
+    rnd = np.random.default_rng(6)
+    points = rnd.normal(size=(3000, 16))
+    copy = rnd.permutation(3000)[:1000]
+    points[copy] = points[copy[0]]
+    rows = [(int(i), points[i].tolist()) for i in rnd.permutation(3000)]
+    rows += [rows[7], (int(copy[1]), points[copy[1]].tolist())]
+    p = N.PermutationIndex(shard=1500)
+    index, pivots = N.build(N.valid_vectors(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")), Workspace(spark, "test"), p)
+    asked = sorted(copy.tolist())[:3] + sorted(copy.tolist())[-3:]
+    others = [i for i in range(3000) if i not in set(copy.tolist())][:10]
+    found = N.nearest(index, pivots, index.where(f"vec_id IN ({','.join(map(str, asked + others))})"), 10, p).toPandas()
+    hits = 0
+    for query in asked + others:
+        far = np.sqrt(((points - points[query]) ** 2).sum(axis=1))
+        far[query] = np.inf
+        best = np.lexsort((np.arange(3000), far))[:10].tolist()
+        mine = found[found.query_id == query].sort_values("rank").vec_id.tolist()
+        if query in asked:
+            assert mine == best
+        hits += len(set(mine) & set(best)) * (query in others)
+    assert hits >= 0.8 * 10 * len(others)
+
+
 def test_few_and_no_vectors(spark):
     for rows in ([], [(100, [1.0, 0.0])], [(100, [1.0, 0.0]), (100, [1.0, 0.0]), (3, [1.0, 0.0]), (2, [1.0, 0.0])]):
         table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")

@@ -5,7 +5,8 @@ sample. Every vector is represented by its ``length`` nearest pivots in order. T
 dealt into shards of a bounded size; in a shard, each pivot has an inverted file of
 (vector, place of the pivot). A query reads the files of its own nearest pivots only, adds
 up the footrule distance (a pivot that one side lacks counts as place ``length``), takes
-the best ``share`` of the shard and reranks them by their exact distance.
+the best ``share`` of the shard and reranks them by their exact distance. Equal vectors of a
+shard are indexed once, with their smallest ids, so that copies take one place of the share.
 
 Queries are a stated set: they meet the shards in blocks, and only the best few of each
 query and shard leave a task.
@@ -134,6 +135,28 @@ def _search(pivots: int, k: int, p: PermutationIndex):
     return run
 
 
+def _distinct_vectors(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A row of each different vector, that of its smallest id, in the order of these ids; the
+    rows of its ``most`` smallest different ids, one vector after the other; and where each begins.
+    """
+    plain = np.ascontiguousarray(vectors + 0.0)  # -0.0 is 0.0
+    raw = plain.view(np.dtype((np.void, plain.dtype.itemsize * plain.shape[1]))).ravel()
+    _, group = np.unique(raw, return_inverse=True)
+    order = np.lexsort((ids, group))
+    group, own = group[order], ids[order]
+    fresh = np.ones(len(order), dtype=bool)
+    fresh[1:] = (group[1:] != group[:-1]) | (own[1:] != own[:-1])
+    order, group, own = order[fresh], group[fresh], own[fresh]
+    begin = np.searchsorted(group, np.arange(group[-1] + 1 if len(group) else 0))
+    rank = np.arange(len(group)) - begin[group]
+    place = np.empty(len(begin), dtype=np.int64)
+    place[np.lexsort((begin, own[begin]))] = np.arange(len(begin))
+    kept = np.flatnonzero(rank < most)
+    kept = kept[np.lexsort((rank[kept], place[group[kept]]))]
+    starts = np.searchsorted(place[group[kept]], np.arange(len(begin) + 1))
+    return order[kept][starts[:-1]], order[kept], starts
+
+
 def _search_shard(table: pa.Table, pivots: int, k: int, p: PermutationIndex, schema: pa.Schema) -> pa.RecordBatch:
     asked = table["is_query"].to_numpy()
     ids, size = table["vec_id"].to_numpy(), len(table["vector"][0])
@@ -141,21 +164,29 @@ def _search_shard(table: pa.Table, pivots: int, k: int, p: PermutationIndex, sch
     order = table["permutation"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
     length = order.shape[1]
     queries, rows = np.flatnonzero(asked), np.flatnonzero(~asked)
-    base = order[rows]
+    first, members, starts = _distinct_vectors(ids[rows], vectors[rows], k + 1)
+    first, members = rows[first], rows[members]
+    base = order[first]
     posted = np.argsort(base.ravel(), kind="stable")
     cuts = np.searchsorted(base.ravel()[posted], np.arange(pivots + 1))
     files = [(part // length, part % length) for part in (posted[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True))]
-    wanted = min(len(rows), max(p.least, k + 1, round(p.share * len(rows))))
+    wanted = min(len(first), max(p.least, k + 1, round(p.share * len(rows))))
     out: list[list[np.ndarray]] = [[], [], []]
     for at in range(0, len(queries), 64):
         part = queries[at : at + 64]
-        distance = footrule(order[part], files, len(rows), length)
+        distance = footrule(order[part], files, len(first), length)
         for q, row in zip(part.tolist(), distance, strict=True):
-            near = np.argpartition(row, wanted - 1)[:wanted] if wanted else np.zeros(0, int)
-            near = near[ids[rows[near]] != ids[q]]
-            exact = np.sqrt(((vectors[rows[near]] - vectors[q]) ** 2).sum(axis=1))
-            best = np.lexsort((ids[rows[near]], exact))[:k]
-            for column, value in zip(out, (np.full(len(best), ids[q]), ids[rows[near[best]]], exact[best]), strict=True):
+            # Of equal distances the smaller id comes first, whatever the order of the rows.
+            key = row.astype(np.int64) * len(first) + np.arange(len(first))
+            near = np.argpartition(key, wanted - 1)[:wanted] if wanted else np.zeros(0, int)
+            far = np.sqrt(((vectors[first[near]] - vectors[q]) ** 2).sum(axis=1))
+            counts = starts[near + 1] - starts[near]
+            begin = np.cumsum(counts) - counts
+            held = members[np.arange(counts.sum()) + np.repeat(starts[near] - begin, counts)]
+            exact, other = np.repeat(far, counts), ids[held] != ids[q]
+            held, exact = held[other], exact[other]
+            best = np.lexsort((ids[held], exact))[:k]
+            for column, value in zip(out, (np.full(len(best), ids[q]), ids[held[best]], exact[best]), strict=True):
                 column.append(value)
     return pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(c) if c else np.zeros(0), f.type) for c, f in zip(out, schema, strict=True)], schema=schema
