@@ -13,6 +13,7 @@ from tidewater.llm.html_text import extract_text
 from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.paragraph_dedup import paragraph_summary
+from tidewater.llm.periodic_runs import periodic_runs, run_digest, with_planted_runs
 from tidewater.llm.suffix_dedup import removal_digest
 from tidewater.llm.tables import Workspace
 from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
@@ -94,6 +95,12 @@ def op10_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_summary(docs).drop("rid")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, every tenth of which has one planted by its id."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return run_digest(periodic_runs(with_planted_runs(docs)))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -105,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op8_mix_sources": op8_mix_sources,
     "op9_html_text": op9_html_text,
     "op10_paragraph_dedup": op10_paragraph_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 # Words as the operators take them: A-Z lowered, runs of digits, a-z and non-ASCII.
