@@ -14,6 +14,7 @@ from tidewater.llm.jaccard_join import jaccard_classes
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.paragraph_dedup import paragraph_summary
 from tidewater.llm.periodic_runs import periodic_runs, run_digest, with_planted_runs
+from tidewater.llm.spelling import misspelt_words, variants, vocabulary
 from tidewater.llm.suffix_dedup import removal_digest
 from tidewater.llm.tables import Workspace
 from tidewater.llm.token_orc import read_token_files, token_digest, write_token_files
@@ -101,6 +102,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digest(periodic_runs(with_planted_runs(docs)))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some misspelt by a hash, with the words they are variants of."""
+    words = misspelt_words(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return variants(vocabulary(words), Workspace(spark, "spelling"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -113,6 +120,7 @@ QUERIES: dict[str, Query] = {
     "op9_html_text": op9_html_text,
     "op10_paragraph_dedup": op10_paragraph_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
 # Words as the operators take them: A-Z lowered, runs of digits, a-z and non-ASCII.
