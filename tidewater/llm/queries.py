@@ -11,6 +11,7 @@ from tidewater.llm import permutation_index, pii, toxicity
 from tidewater.llm.decontaminate import contamination
 from tidewater.llm.html_text import extract_text
 from tidewater.llm.jaccard_join import jaccard_classes
+from tidewater.llm.license_scan import license_digest, license_spans
 from tidewater.llm.mixing import HEX_DIGITS, with_copies
 from tidewater.llm.paragraph_dedup import paragraph_summary
 from tidewater.llm.periodic_runs import periodic_runs, run_digest, with_planted_runs
@@ -108,6 +109,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(vocabulary(words), Workspace(spark, "spelling"))
 
 
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every document names or quotes."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return license_digest(license_spans(docs.select("doc_id", "text")))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -121,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op10_paragraph_dedup": op10_paragraph_dedup,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_license_scan": op13_license_scan,
 }
 
 # Words as the operators take them: A-Z lowered, runs of digits, a-z and non-ASCII.
