@@ -4,7 +4,14 @@ import random
 import pytest
 
 from tidewater.operators import dims as D
-from tidewater.sinks.catalog import allowed_options, create_dim_tables, create_statement, publish_dim
+from tidewater.sinks.catalog import (
+    allowed_options,
+    create_dim_tables,
+    create_statement,
+    fill_dim_tables,
+    remove_old_buckets,
+    view_statement,
+)
 from tidewater.sinks.dim_store import DimStore
 
 COLUMNS = ("id", "a", "b")
@@ -107,26 +114,71 @@ def test_table_statement_takes_options_from_a_list_only():
     assert allowed_options("compression=zstd, comment=it's, LOCATION=/etc, x") == {
         "comment": "it's", "compression": "zstd",
     }
-    text = create_statement("w", "d`x", "id", ["id", "a b"], "comment=it's,path=/etc")
+    text = create_statement("w", "d`x", "id", ["id", "a b"], "comment=it's,path=/etc", 8)
     assert text == (
-        "CREATE TABLE IF NOT EXISTS `w`.`d``x` (`id` STRING, `a b` STRING) USING parquet"
-        " COMMENT 'it\\'s' TBLPROPERTIES ('pk' = 'id')"
+        "CREATE TABLE IF NOT EXISTS `w`.`d``x__rows` (`id` STRING, `a b` STRING, `_key` STRING,"
+        " `_seqs` MAP<STRING, BIGINT>, `_bucket` INT) USING parquet PARTITIONED BY (`_bucket`)"
+        " COMMENT 'it\\'s' TBLPROPERTIES ('pk' = 'id', 'buckets' = '8')"
+    )
+    assert view_statement("w", "d", "id", ["id", "a b"], "path=/etc") == (
+        "CREATE OR REPLACE VIEW `w`.`d` TBLPROPERTIES ('pk' = 'id') AS SELECT `id`, `a b` FROM `w`.`d__rows`"
     )
 
 
-def test_catalog_tables_are_created_widened_and_published(spark, rows, tmp_path):
+@pytest.fixture
+def define(spark):
     schema = "sink_table string, sink_pk string, columns array<string>, sink_extend string"
-    define = lambda columns: spark.createDataFrame([("dim_x", "id", columns, "compression=gzip")], schema)
-    assert create_dim_tables(spark, define(["id", "a"]), "warehouse_test") == ["dim_x"]
+    return lambda name, columns: spark.createDataFrame([(name, "id", columns, "compression=gzip")], schema)
+
+
+def test_catalog_tables_are_created_and_widened(spark, rows, define):
+    assert create_dim_tables(spark, define("dim_x", ["id", "a"]), "warehouse_test") == ["dim_x"]
+    assert fill_dim_tables(spark, "warehouse_test", D.dim_cells(rows((1, "dim_x", {"id": 1, "a": "x", "b": "lost"}))))
     known = set()
-    assert create_dim_tables(spark, define(["id", "a", "b"]), "warehouse_test", known) == ["dim_x"]
-    assert create_dim_tables(spark, define(["id", "a", "b"]), "warehouse_test", known) == []
+    assert create_dim_tables(spark, define("dim_x", ["id", "a", "b"]), "warehouse_test", known) == ["dim_x"]
+    assert create_dim_tables(spark, define("dim_x", ["id", "a", "b"]), "warehouse_test", known) == []
     table = spark.table("warehouse_test.dim_x")
     assert table.dtypes == [("id", "string"), ("a", "string"), ("b", "string")]
-    properties = {r.key: r.value for r in spark.sql("SHOW TBLPROPERTIES warehouse_test.dim_x").collect()}
-    assert properties["pk"] == "id" and properties["parquet.compression"] == "gzip"
-    store = DimStore(str(tmp_path / "dims"))
-    store.append(D.dim_cells(rows((1, "dim_x", {"id": 1, "a": "x"}))), "job", 0)
-    publish_dim(spark, store, "warehouse_test", "dim_x")
-    publish_dim(spark, store, "warehouse_test", "dim_x")
-    assert found(spark.table("warehouse_test.dim_x")) == {"1": ("x", None)}
+    for name in ("dim_x", "dim_x__rows"):
+        properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES warehouse_test.{name}").collect()}
+        assert properties["pk"] == "id" and properties["parquet.compression"] == "gzip"
+    fill_dim_tables(spark, "warehouse_test", D.dim_cells(rows((2, "dim_x", {"id": 1, "b": "y"}), (3, "none", {"id": 1}))))
+    assert found(table) == {"1": ("x", "y")}
+    assert fill_dim_tables(spark, "warehouse_test", D.dim_cells(rows((3, "none", {"id": 1})))) == {}
+
+
+def test_catalog_tables_do_not_depend_on_batches_or_replays(spark, rows, define):
+    rng = random.Random(8)
+    create_dim_tables(spark, define("dim_y", ["id", "a", "b"]), "warehouse_test", buckets=4)
+    changes, expected = [], {}
+    for seq in range(150):
+        body = {"id": rng.choice([1, 1, 1, "O'Brien", 3, 4, "", "é b"])}
+        body |= {name: rng.choice([None, f"{name}{seq}", 7]) for name in "ab" if rng.random() < 0.5}
+        changes.append((seq, "dim_y", body))
+        expected.setdefault(str(body["id"]), {"a": None, "b": None}).update(body)
+    rng.shuffle(changes)
+    for cut in (changes[:60], changes[60:61], changes[:60], changes[61:]):
+        fill_dim_tables(spark, "warehouse_test", D.dim_cells(rows(*cut)))
+    texts = {k: tuple(None if v[c] is None else str(v[c]) for c in "ab") for k, v in expected.items()}
+    assert found(spark.table("warehouse_test.dim_y")) == texts
+
+
+def test_only_touched_buckets_are_rewritten(spark, rows, define):
+    create_dim_tables(spark, define("dim_z", ["id", "a"]), "warehouse_test", buckets=8)
+    files = lambda: set(spark.table("warehouse_test.dim_z__rows").inputFiles())
+    fill_dim_tables(spark, "warehouse_test", D.dim_cells(rows(*[(i, "dim_z", {"id": i, "a": "x"}) for i in range(60)])))
+    first = files()
+    assert len(first) == 8
+    touched = fill_dim_tables(spark, "warehouse_test", D.dim_cells(rows((99, "dim_z", {"id": 7, "a": "y"}))))
+    second = files()
+    assert len(touched["dim_z"]) == 1 and len(first & second) == 7 and len(second) == 8
+    assert {r.id: r.a for r in spark.table("warehouse_test.dim_z").collect()} == {
+        str(i): "y" if i == 7 else "x" for i in range(60)
+    }
+    # What a reader may still hold stays until it is old enough.
+    old = spark.read.parquet(*(first - second))
+    assert old.where("_key = '7'").first().a == "x"
+    remove_old_buckets(spark, "warehouse_test", "dim_z", keep_ms=0)
+    assert files() == second and spark.table("warehouse_test.dim_z").count() == 60
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(*(first - second)).count()

@@ -30,11 +30,15 @@ class DimStore:
         done = read_if_exists(spark, f"{self.root}/epochs", "epoch bigint")
         return done.agg(F.max("epoch").alias("epoch")).first()["epoch"] or 0
 
-    def append(self, cells: DataFrame, job: str, batch_id: int) -> None:
-        """Store the merged cells of one batch, replacing an earlier try of the same batch."""
-        epoch = self.epoch(cells.sparkSession)
-        target = f"{self.root}/changes/epoch={epoch}/job={job}/batch_id={batch_id}"
+    def append(self, cells: DataFrame, job: str, batch_id: int) -> DataFrame:
+        """Store the merged cells of one batch, replacing an earlier try of the same batch.
+
+        Returns them as they were written.
+        """
+        spark = cells.sparkSession
+        target = f"{self.root}/changes/epoch={self.epoch(spark)}/job={job}/batch_id={batch_id}"
         _write(merge_cells(cells), target)
+        return spark.read.schema(STORED_CELL).parquet(target)
 
     def cells(self, spark: SparkSession) -> DataFrame:
         """All stored cells of the current epoch; several versions of a cell may occur."""

@@ -30,7 +30,7 @@ from tidewater.schemas import (
     RAW_CHANGE_TOPIC,
     START_TOPIC,
 )
-from tidewater.sinks.catalog import create_dim_tables
+from tidewater.sinks.catalog import DEFAULT_BUCKETS, create_dim_tables, fill_dim_tables
 from tidewater.sinks.dim_store import DimStore
 from tidewater.sources.feeds import change_feed
 from tidewater.sources.topics import ORDER_COLUMNS, Topics
@@ -109,14 +109,16 @@ def start_change_job(
     trim_columns: bool = False,
     types: Mapping[tuple[str, str], str] | None = None,
     compact_every: int | None = None,
+    buckets: int = DEFAULT_BUCKETS,
 ) -> StreamingQuery:
     """Envelopes to one topic per fact table and one upserted table per dimension.
 
     ``rule_changes`` is called for every micro-batch, so rules added meanwhile apply
     before its rows are routed. ``seq`` orders the changes of a dimension key and is
     one of the columns of ``messages``; ``order_by`` identifies a message. With
-    ``database`` the tables named by dimension rules are created in the catalog. ``types``
-    is passed to ``dim_cells``.
+    ``database`` the tables named by dimension rules are created in the catalog, with
+    ``buckets`` buckets, and every batch rewrites the buckets it touches. ``types`` is passed
+    to ``dim_cells``.
 
     Rejected rules, and tables that the catalog refuses, are dead letters of the batch that
     first meets them; after a restart they are written again under the same keys. Output
@@ -164,10 +166,12 @@ def start_change_job(
         failures: list = []
         try:
             if database:
-                create_dim_tables(spark, dim_definitions(rules), database, tables, failures)
+                create_dim_tables(spark, dim_definitions(rules), database, tables, failures, buckets)
             facts = publishable(change_outputs(routed), order_by, "change_job")
             sink.write_batch(facts.unionByName(rule_letters(rules, failures)), batch_id, state["job"])
-            dims.append(dim_cells(dim_rows(routed), seq, types), state["job"], batch_id)
+            stored = dims.append(dim_cells(dim_rows(routed), seq, types), state["job"], batch_id)
+            if database:
+                fill_dim_tables(spark, database, stored)
             state["reported"] = rules.agg(F.max("seq").alias("seq")).first().seq
             if compact_every and (batch_id + 1) % compact_every == 0:
                 dims.compact(spark)

@@ -175,6 +175,7 @@ SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
        CASE type WHEN 'update' THEN c_acctbal END AS c_acctbal
 FROM kept JOIN customer ON seq = c_custkey
 WHERE tbl = 'customer' AND type IN ('insert', 'update')"""
+ORACLES["dim_catalog_table"] = ORACLES["change_job_dims"]
 ORACLES["route_asof"] = """
 WITH changes AS (
   SELECT o_orderkey AS seq,
@@ -330,6 +331,7 @@ SELECT CAST(pk AS VARCHAR) AS c_custkey,
 FROM changes GROUP BY pk"""
 ORACLES["dim_store_compacted"] = ORACLES["dim_merge"]
 ORACLES["dim_merge_stream"] = ORACLES["dim_merge"]
+ORACLES["dim_catalog_merge"] = ORACLES["dim_merge"]
 ORACLES["dim_cells"] = DIM + """,
 cells AS (
   SELECT pk, seq, 'c_custkey' AS col, CAST(pk AS VARCHAR) AS text FROM changes

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,7 @@ from tidewater.plans.changes import change_outputs, replayed_changes, routed_cha
 from tidewater.plans.logs import log_outputs, publishable
 from tidewater.schemas import RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
 from tidewater.session import shared_dir
+from tidewater.sinks.catalog import create_dim_tables, fill_dim_tables
 from tidewater.sources.feeds import change_feed, rule_feed
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
 from tidewater.sources.topics import FileTopics
@@ -542,7 +544,14 @@ def dim_merge_stream(spark, sf):
     return typed_customer(store.table(spark, "dim_customer", CUSTOMER_COLUMNS))
 
 
-def run_change_job(spark: SparkSession, sf: str, runs: int = 1):
+def new_database(spark: SparkSession) -> str:
+    """A database of its own for one run, in the shared folder."""
+    name = f"dims_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark, 'catalog')}'")
+    return name
+
+
+def run_change_job(spark: SparkSession, sf: str, runs: int = 1, database: str | None = None):
     """The change job over all changes, or several jobs over a share each, on one sink and store."""
     root = shared_dir(spark, "change_job")
     sink, store = FileTopics(f"{root}/out"), R.dim_store(root)
@@ -555,7 +564,7 @@ def run_change_job(spark: SparkSession, sf: str, runs: int = 1):
         messages = source.stream(spark, RAW_CHANGE_TOPIC)
         messages = messages.withColumn("seq", F.split("key", "/")[1].cast("bigint"))
         job = jobs.start_change_job(
-            messages, R.rule_changes, sink, store, f"{root}/checkpoint-{run}", order_by=("key",)
+            messages, R.rule_changes, sink, store, f"{root}/checkpoint-{run}", database, order_by=("key",)
         )
         finished(job)
     return sink, store
@@ -577,6 +586,27 @@ def change_job_dims(spark, sf):
     return typed_customer(store.table(spark, "dim_customer", columns))
 
 
+@query
+def dim_catalog_table(spark, sf):
+    """The customer dimension as the catalog serves it after two change jobs."""
+    database = new_database(spark)
+    run_change_job(spark, sf, runs=2, database=database)
+    return typed_customer(spark.table(f"{database}.dim_customer"))
+
+
+@query
+def dim_catalog_merge(spark, sf):
+    """Three batches merged into a catalog table, the latest changes first and one of them twice."""
+    database = new_database(spark)
+    cells = D.dim_cells(R.customer_dim_rows(spark, sf))
+    schema = "sink_table string, sink_pk string, columns array<string>, sink_extend string"
+    rule = [("dim_customer", "c_custkey", list(CUSTOMER_COLUMNS), "")]
+    create_dim_tables(spark, spark.createDataFrame(rule, schema), database)
+    for step in (2, 0, 1, 2):
+        fill_dim_tables(spark, database, cells.where(F.col("seq") % 3 == step))
+    return typed_customer(spark.table(f"{database}.dim_customer"))
+
+
 @query
 def change_job_two_runs(spark, sf):
     """Two jobs with checkpoints of their own on one sink and one store; both stay."""
