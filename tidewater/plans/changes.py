@@ -22,7 +22,7 @@ def routed_changes(
     messages: DataFrame, rule_changes: DataFrame, asof: bool = False, honor_deletes: bool = False
 ) -> DataFrame:
     """Envelope texts routed by the latest rules, or by those in force at each ``seq``."""
-    rules = validate_rules(bind_rules(rule_changes))
+    rules = validate_rules(bind_rules(rule_changes), honor_deletes=honor_deletes)
     changes = drop_deletes(parse_envelopes(messages))
     if asof:
         return route_changes_asof(changes, rule_intervals(rules, honor_deletes))

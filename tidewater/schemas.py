@@ -38,3 +38,7 @@ RULE_FIELDS = (
 
 TOPIC_ROW = "key string, value string"
 DIM_CELL = "pk string, column string, value string, seq bigint"
+
+# What a catalog adds to the table of a dimension: its name's end, and columns of its own.
+ROWS_SUFFIX = "__rows"
+HIDDEN_COLUMNS = ("_key", "_seqs", "_bucket")

@@ -27,6 +27,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tidewater/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once below the shared folder and read back, so that nothing computes it again."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def computed_once(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` itself when it is persisted, otherwise a stored copy."""
+    level = df.storageLevel
+    return df if level.useMemory or level.useDisk else stored(df, purpose)
+
+
 @contextmanager
 def session_conf(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
     """Apply settings for the block and put the former values back afterwards."""

@@ -1,7 +1,7 @@
 """Catalog tables for dimensions: created when a rule asks for them, filled batch by batch.
 
 What a rule names is a view with exactly its columns. Behind it stands a Parquet table of
-the same name with ``ROWS`` added, partitioned by a bucket of the row key; it also holds the
+the same name with ``__rows`` added, partitioned by a bucket of the row key; it also holds the
 key and, per column, the ``seq`` of the change that set it. A batch rewrites the buckets it
 touches into a new folder and then points the partitions there, one metadata change each. So
 a reader sees a bucket before or after a batch, a run that dies leaves every bucket whole,
@@ -19,14 +19,14 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.dims import merge_cells
+from tidewater.schemas import HIDDEN_COLUMNS, ROWS_SUFFIX
 
 # Table options a rule may set; anything else in its free text is ignored.
 ALLOWED_OPTIONS = ("comment", "compression")
 
 # The table behind a dimension, and its columns that are not the rule's.
-ROWS = "__rows"
-KEY, SEQS, BUCKET = "_key", "_seqs", "_bucket"
-HIDDEN = (KEY, SEQS, BUCKET)
+ROWS = ROWS_SUFFIX
+KEY, SEQS, BUCKET = HIDDEN_COLUMNS
 
 DEFAULT_BUCKETS = 16
 DAY_MS = 24 * 3600 * 1000
@@ -123,7 +123,7 @@ def _create_dim_table(spark: SparkSession, database: str, row: Row, buckets: int
     if missing:
         fields = ", ".join(f"{quoted(name)} STRING" for name in missing)
         spark.sql(f"ALTER TABLE {rows} ADD COLUMNS ({fields})")
-    columns = [name for name in spark.table(rows).columns if name not in HIDDEN]
+    columns = [name for name in spark.table(rows).columns if name not in HIDDEN_COLUMNS]
     spark.sql(view_statement(database, row.sink_table, row.sink_pk, columns, row.sink_extend))
 
 
@@ -195,7 +195,7 @@ def _rewrite_buckets(
 ) -> None:
     target = quoted(database, table + ROWS)
     rows = spark.table(target)
-    columns = [name for name in rows.columns if name not in HIDDEN]
+    columns = [name for name in rows.columns if name not in HIDDEN_COLUMNS]
     merged = merged_rows(rows.where(F.col(BUCKET).isin(*buckets)), cells, columns, count)
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
         merged = merged.hint("rebalance", BUCKET)

@@ -154,7 +154,7 @@ def start_change_job(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         changes = rule_changes(spark)
-        rules = validate_rules(bind_rules(changes), trim_columns).persist(StorageLevel.MEMORY_AND_DISK)
+        rules = validate_rules(bind_rules(changes), trim_columns, honor_deletes).persist(StorageLevel.MEMORY_AND_DISK)
         now = current_rules(rules, honor_deletes).persist(StorageLevel.MEMORY_AND_DISK)
         routed = route_changes(batch, now)
         # The text is needed for dead letters only; routed payloads leave the envelope behind.
@@ -185,7 +185,7 @@ def start_change_job(
 
 def rule_dead_letters(rule_changes: DataFrame, honor_deletes: bool = False) -> DataFrame:
     """Rules that were rejected, for the operator of the rule table."""
-    return dirty_rules(validate_rules(bind_rules(rule_changes)), honor_deletes)
+    return dirty_rules(validate_rules(bind_rules(rule_changes), honor_deletes=honor_deletes), honor_deletes)
 
 
 def start_dim_job(

@@ -309,6 +309,25 @@ SELECT p_partkey AS seq, n.sink_table,
        CASE WHEN n.cols IS NULL THEN 'no_rule'
             WHEN n.sink_type NOT IN ('topic', 'dim') THEN 'unknown_sink_type' END AS reason
 FROM part LEFT JOIN now n ON n.source_table = lower(replace(p_brand, '#', '_'))"""
+ORACLES["route_asof_part_rules"] = RULES + """,
+changes AS (
+  SELECT p_partkey AS seq, p_name, lower(replace(p_brand, '#', '_')) AS brand,
+         unnest(['insert', 'update', 'delete']) AS type
+  FROM part)
+SELECT c.seq, c.type, n.sink_table,
+       CASE WHEN n.sink_type = 'dim' AND n.sink_pk = 'id' THEN CAST(c.seq AS VARCHAR)
+            WHEN n.sink_type = 'dim' THEN p_name END AS pk,
+       CAST(coalesce(CAST(list_contains(n.cols, 'id') AS INTEGER)
+                     + CAST(list_contains(n.cols, 'p_name') AS INTEGER), 0) AS INTEGER) AS n_columns,
+       CASE WHEN n.cols IS NULL THEN 'no_rule'
+            WHEN n.sink_type NOT IN ('topic', 'dim') THEN 'unknown_sink_type' END AS reason
+FROM changes c ASOF LEFT JOIN valid n
+  ON n.source_table = c.brand AND n.operate_type = c.type AND c.seq >= n.seq"""
+ORACLES["rules_key_after_delete"] = """
+WITH p AS (SELECT CAST(p_partkey AS BIGINT) AS n, p_partkey % 2 = 1 AS odd FROM part)
+SELECT n * 3 AS seq, 'insert' AS change_type, 'id' AS sink_pk, CAST(NULL AS VARCHAR) AS reason, NOT odd AS in_force FROM p
+UNION ALL SELECT n * 3 + 1, 'delete', NULL, 'empty_rule', false FROM p WHERE odd
+UNION ALL SELECT n * 3 + 2, 'insert', 'x', CASE WHEN NOT odd THEN 'other_pk' END, odd FROM p"""
 
 # Three changes per customer; a NULL in has_… means the column is absent from the change.
 DIM = """

@@ -162,6 +162,46 @@ def part_rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rules_of_deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per part a dimension rule, for odd parts its deletion, and a rule with another key for its table."""
+    n = F.col("p_partkey").cast("bigint")
+    name = n.cast("string")
+    text = lambda value: J.to_variant(value if not isinstance(value, str) else F.lit(value))
+
+    def image(operate: str, pk: str):
+        fields = {
+            "source_table": F.concat(F.lit("t"), name), "operate_type": operate, "sink_type": "hbase",
+            "sink_table": F.concat(F.lit("d"), name), "sink_columns": "id,x", "sink_pk": pk,
+        }
+        return F.create_map(*[part for key, value in fields.items() for part in (F.lit(key), text(value))])
+
+    def change(step: int, kind: str, after=None, before=None):
+        empty = J.empty_object()
+        images = (empty if before is None else before, empty if after is None else after)
+        return F.struct(
+            (n * 3 + step).alias("seq"), images[0].alias("before"), images[1].alias("after"), F.lit(kind).alias("type")
+        )
+
+    first = image("insert", "id")
+    steps = F.array(change(0, "insert", first), change(1, "delete", None, first), change(2, "insert", image("update", "x")))
+    wanted = F.filter(steps, lambda step: (step["type"] != "delete") | (n % 2 == 1))
+    return table(spark, sf_dir, "part").select(F.inline(wanted))
+
+
+def part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three changes per part, one of every type, in the table of its brand."""
+    brand = F.lower(F.replace("p_brand", F.lit("#"), F.lit("_")))
+    image = F.create_map(
+        F.lit("id"), F.col("p_partkey").cast("variant"), F.lit("p_name"), F.col("p_name").cast("variant")
+    )
+    rows = table(spark, sf_dir, "part").select(
+        brand.alias("brand"), image.alias("image"), F.col("p_partkey").alias("seq"),
+        F.explode(F.array(*map(F.lit, ("insert", "update", "delete")))).alias("kind"),
+    )
+    changes = rows.select(*envelope(F.col("image")), "seq", "brand", "kind")
+    return changes.withColumns({"tableName": F.col("brand"), "type": F.col("kind")}).drop("brand", "kind")
+
+
 def customer_dim_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three changes per customer: the full row, one column, and a column cleared."""
     rows = table(spark, sf_dir, "customer")

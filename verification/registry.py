@@ -391,6 +391,15 @@ def rules_dead(spark, sf):
     return dead.select("seq", "reason", "stage", field("$.source_table", "source_table"))
 
 
+@query
+def rules_key_after_delete(spark, sf):
+    """A rule may name another key for a table once the rules that bound it are deleted."""
+    rules = U.validate_rules(U.bind_rules(R.rules_of_deleted_keys(spark, sf)), honor_deletes=True)
+    now = U.current_rules(rules, honor_deletes=True).select(F.col("seq").alias("now_seq"))
+    joined = rules.join(now, F.col("seq") == F.col("now_seq"), "left")
+    return joined.select("seq", "change_type", "sink_pk", "reason", F.col("now_seq").isNotNull().alias("in_force"))
+
+
 @query
 def rule_feed_snapshot(spark, sf):
     """S3: existing brand rules as a snapshot, followed by the later changes."""
@@ -471,6 +480,14 @@ def route_asof(spark, sf):
     return out.select("seq", "type", "sink_table", F.size("payload").alias("n_columns"), "reason")
 
 
+@query
+def route_asof_part_rules(spark, sf):
+    """B2 with a history that grows with the data: every part's changes by the rules of its time."""
+    intervals = U.rule_intervals(part_rules(spark, sf))
+    out = U.route_changes_asof(R.part_changes(spark, sf), intervals)
+    return out.select("seq", "type", "sink_table", "pk", F.size("payload").alias("n_columns"), "reason")
+
+
 @query
 def route_by_part_rules(spark, sf):
     """B1b with a rule table that grows with the data: parts routed by their brand's rule."""
