@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,15 +32,16 @@ RULE_BODY = ("sink_type", "sink_table", "columns", "sink_pk", "sink_extend")
 FANOUT = 16
 
 
-def bind_rules(changes: DataFrame, order_by: str = "seq") -> DataFrame:
+def bind_rules(changes: DataFrame, order_by: str = "seq", keep: Sequence[str] = ()) -> DataFrame:
     """Rule-table changes as rule rows, whatever the case style of the field names.
 
-    Also keeps what deletions need: the change type and the key in ``before``.
+    Also keeps what deletions need, the change type and the key in ``before``, and the
+    columns in ``keep``.
     """
     bound = {name: J.field_ignoring_style(F.col("after"), name) for name in RULE_FIELDS}
     old = {f"old_{name}": J.field_ignoring_style(F.col("before"), name) for name in RULE_KEY}
     images = changes.select(
-        "after", "before", F.col("type").alias("change_type"), F.col(order_by).alias("seq")
+        "after", "before", F.col("type").alias("change_type"), F.col(order_by).alias("seq"), *keep
     )
     return J.with_computed(images, **bound, **old).drop("after", "before")
 
@@ -231,7 +232,7 @@ def route_changes(changes: DataFrame, rules: DataFrame) -> DataFrame:
     and so is one that already carries a ``reason``.
     """
     side = broadcast_if_small(computed_once(rules, "rules").select(*RULE_KEY, *RULE_BODY))
-    return _routed(_carried(changes).join(side, _of_rule(), "left"), changes.columns)
+    return routed_by(_carried(changes).join(side, _of_rule(), "left"), changes.columns)
 
 
 def route_changes_asof(changes: DataFrame, intervals: DataFrame, order_by: str = "seq", fanout: int = FANOUT) -> DataFrame:
@@ -263,7 +264,7 @@ def route_changes_asof(changes: DataFrame, intervals: DataFrame, order_by: str =
             found = found.withColumn("_node", F.col("_entry.position")).drop("_entry")
     in_force = F.col("_entry.valid_to").isNull() | (at < F.col("_entry.valid_to"))
     found = found.select("*", F.when(in_force, F.col("_entry.rule")).alias("_rule")).select("*", "_rule.*")
-    return _routed(found, changes.columns)
+    return routed_by(found, changes.columns)
 
 
 def _groups(entries: DataFrame, fanout: int) -> DataFrame:
@@ -283,8 +284,11 @@ def _carried(changes: DataFrame) -> DataFrame:
     return changes.select(*[name for name in changes.columns if name != "reason"], earlier.alias("earlier"))
 
 
-def _routed(joined: DataFrame, columns: list[str]) -> DataFrame:
-    """Changes beside their rule (or NULL) with their sink, key, kept columns and reason."""
+def routed_by(joined: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Changes beside their rule (or NULL) with their sink, key, kept columns and reason.
+
+    ``earlier`` is the reason a change already had; ``columns`` of it are carried on.
+    """
     carried = [name for name in columns if name != "reason"]
     payload = J.keep_keys(F.col("after"), F.coalesce("columns", F.array().cast("array<string>")))
     is_dim = F.col("sink_type").eqNullSafe("dim")

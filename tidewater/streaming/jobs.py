@@ -1,4 +1,4 @@
-"""The three streaming jobs. Each is one query with its own checkpoint."""
+"""The streaming jobs. Each is one query with its own checkpoint."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidewater.operators.changes import drop_deletes, envelope_text, parse_envelopes
 from tidewater.operators.dims import dim_cells, dim_definitions
@@ -34,6 +35,7 @@ from tidewater.sinks.catalog import DEFAULT_BUCKETS, create_dim_tables, fill_dim
 from tidewater.sinks.dim_store import DimStore
 from tidewater.sources.feeds import change_feed
 from tidewater.sources.topics import ORDER_COLUMNS, Topics
+from tidewater.streaming.lanes import connect_rules, connected_changes, rejected_rules, wanted_tables
 from tidewater.streaming.visitors import repair_is_new_stream, state_settings
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -140,16 +142,7 @@ def start_change_job(
         bad = dirty_rules(rules, honor_deletes)
         if state["reported"] is not None:
             bad = bad.where(F.col("seq") > F.lit(state["reported"]))
-        key = F.concat_ws("/", F.lit("rule"), F.col("seq").cast("string"), "reason")
-        letter = F.to_json(F.struct("value", "reason", "stage", "seq"))
-        letters = bad.select(F.lit(DEAD_LETTER_TOPIC).alias("topic"), key.alias("key"), letter.alias("value"))
-        for table, condition in failures:
-            text = json.dumps({"value": table, "reason": condition, "stage": "create_dim_tables"})
-            row = rules.sparkSession.range(1).select(
-                F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.lit(f"table/{table}").alias("key"), F.lit(text).alias("value")
-            )
-            letters = letters.unionByName(row)
-        return letters
+        return letters_of_rules(bad, failures)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -183,6 +176,79 @@ def start_change_job(
     return _start(writer, checkpoint, trigger, messages.sparkSession)
 
 
+def letters_of_rules(bad: DataFrame, failures: Sequence[tuple[str, str]]) -> DataFrame:
+    """Rejected rules, and tables that the catalog refused, as rows of the dead-letter topic."""
+    key = F.concat_ws("/", F.lit("rule"), F.col("seq").cast("string"), "reason")
+    letter = F.to_json(F.struct("value", "reason", "stage", "seq"))
+    letters = bad.select(F.lit(DEAD_LETTER_TOPIC).alias("topic"), key.alias("key"), letter.alias("value"))
+    for table, condition in failures:
+        text = json.dumps({"value": table, "reason": condition, "stage": "create_dim_tables"})
+        row = bad.sparkSession.range(1).select(
+            F.lit(DEAD_LETTER_TOPIC).alias("topic"), F.lit(f"table/{table}").alias("key"), F.lit(text).alias("value")
+        )
+        letters = letters.unionByName(row)
+    return letters
+
+
+def start_connected_job(
+    messages: DataFrame,
+    rule_messages: DataFrame,
+    sink: Topics,
+    dims: DimStore,
+    checkpoint: str,
+    lanes: int,
+    database: str | None = None,
+    order_by: Sequence[str] = ORDER_COLUMNS,
+    seq: str = "seq",
+    trigger: Mapping = AVAILABLE_NOW,
+    honor_deletes: bool = False,
+    trim_columns: bool = False,
+    wait_ms: int | None = None,
+    types: Mapping[tuple[str, str], str] | None = None,
+    buckets: int = DEFAULT_BUCKETS,
+) -> StreamingQuery:
+    """The change job with the rule topic as a second stream: see ``streaming.lanes``.
+
+    A change takes the rule that was in force at its ``seq``. Rules are never read again:
+    they live in the state of ``lanes`` lanes, a number that stays as long as the
+    checkpoint. Bad records of the rule topic and rejected rules are dead letters, once.
+    ``wait_ms`` lets changes wait for a rule of their key; the query has no last batch then.
+    """
+    if wait_ms and "availableNow" in trigger:
+        raise ValueError("changes that wait need a trigger other than availableNow")
+    spark = messages.sparkSession
+    connected = connect_rules(messages, rule_messages, lanes, order_by, seq, honor_deletes, trim_columns, wait_ms)
+    fields = StructType([messages.schema[name] for name in order_by])
+    tables: set = set()
+    state: dict = {"job": None}
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # The state store has one answer for a batch, so what it gave is kept for all sinks.
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        routed = connected_changes(batch, fields)
+        text = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+        columns = dict.fromkeys([*order_by, "seq"])
+        routed = routed.select(*columns, "sink_type", "sink_table", "pk", "payload", "reason", text)
+        routed = routed.persist(StorageLevel.MEMORY_AND_DISK)
+        state["job"] = state["job"] or checkpoint_id(spark, checkpoint)
+        failures: list = []
+        try:
+            if database:
+                create_dim_tables(spark, wanted_tables(batch), database, tables, failures, buckets)
+            facts = publishable(change_outputs(routed), order_by, "change_job")
+            letters = letters_of_rules(rejected_rules(batch), failures)
+            sink.write_batch(facts.unionByName(letters), batch_id, state["job"])
+            stored = dims.append(dim_cells(dim_rows(routed), "seq", types), state["job"], batch_id)
+            if database:
+                fill_dim_tables(spark, database, stored)
+        finally:
+            routed.unpersist()
+            batch.unpersist()
+
+    return _start(connected.writeStream.foreachBatch(process), checkpoint, trigger, spark, lanes)
+
+
 def rule_dead_letters(rule_changes: DataFrame, honor_deletes: bool = False) -> DataFrame:
     """Rules that were rejected, for the operator of the rule table."""
     return dirty_rules(validate_rules(bind_rules(rule_changes), honor_deletes=honor_deletes), honor_deletes)

@@ -169,6 +169,14 @@ UNION ALL SELECT 'dead_letter', count(*) FROM dead
 """
 ORACLES["change_topic_sink"] = SHOP + f"SELECT topic, n, n AS keys FROM ({TOPICS})"
 ORACLES["change_job_topics"] = ORACLES["change_topic_sink"]
+ORACLES["connected_job_stream"] = SHOP + """
+SELECT CASE type WHEN 'insert' THEN 'dwd_orders' ELSE 'dwd_orders_upd' END AS topic, CAST(NULL AS VARCHAR) AS reason,
+       count(*) AS n, count(*) AS keys
+FROM kept WHERE tbl = 'orders' AND type IN ('insert', 'update') GROUP BY 1
+UNION ALL SELECT 'dead_letter', reason, count(*), count(*) FROM dead GROUP BY reason
+UNION ALL SELECT 'dead_letter', unnest(['pk_not_in_columns', 'bad_topic', 'bad_envelope']), 1, 1
+UNION ALL SELECT 'dim_customer', NULL, count(*), count(*)
+FROM kept WHERE tbl = 'customer' AND type IN ('insert', 'update')"""
 ORACLES["change_job_dims"] = SHOP + """
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
        CASE type WHEN 'insert' THEN c_mktsegment END AS c_mktsegment,
@@ -200,6 +208,11 @@ SELECT seq, type, sink_table, CAST(coalesce(n, 0) AS INTEGER) AS n_columns,
        CASE WHEN n IS NULL THEN 'no_rule' WHEN sink_type <> 'topic' THEN 'unknown_sink_type'
        END AS reason
 FROM filled WHERE NOT is_rule"""
+ORACLES["route_connected_stream"] = ORACLES["route_asof"]
+# The first rule of a key also takes the changes that waited for it.
+ORACLES["unmatched_released_stream"] = (
+    ORACLES["route_asof"].replace("(100, 'insert'", "(0, 'insert'").replace("(400, 'update'", "(0, 'update'").replace("(1200, 'read'", "(0, 'read'")
+)
 
 # The rule history that the part recipe writes.
 RULES = """

@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tidewater.functions import jsonops as J
 from tidewater.operators import changes as C
@@ -22,6 +23,8 @@ from tidewater.sources.feeds import change_feed, rule_feed
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
 from tidewater.sources.topics import FileTopics
 from tidewater.streaming import jobs
+from tidewater.streaming.lanes import connect_rules, connected_changes
+from tidewater.streaming.visitors import state_settings
 from verification import recipes as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -480,6 +483,70 @@ def route_asof(spark, sf):
     return out.select("seq", "type", "sink_table", F.size("payload").alias("n_columns"), "reason")
 
 
+def run_connected(spark: SparkSession, sf: str, name: str, steps, trigger, **options) -> DataFrame:
+    """Order changes routed by lanes; the rules of ``steps`` arrive one step after another, the changes with the first."""
+    root = shared_dir(spark, name)
+    source = FileTopics(f"{root}/source")
+    changes = C.envelope_text(change_feed(R.raw_changes(spark, sf, "orders", "o_orderkey")))
+    key = F.col("seq").cast("string").alias("key")
+    source.write_batch(changes.select(F.lit(RAW_CHANGE_TOPIC).alias("topic"), key, "value").repartition(4), 0)
+    for step, rules in enumerate(steps):
+        history = C.envelope_text(R.rule_changes(spark, rules)).select(F.lit("rules").alias("topic"), key, "value")
+        source.write_batch(history, step + 1)
+        messages, rule_messages = (R.with_seq(source.stream(spark, topic)) for topic in (RAW_CHANGE_TOPIC, "rules"))
+        rows = connect_rules(messages, rule_messages, spark.sparkContext.defaultParallelism, **options)
+        fields = StructType([StructField("seq", LongType())])
+        out = connected_changes(rows, fields).select("seq", "type", "sink_table", F.size("payload").alias("n_columns"), "reason")
+        writer = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        with state_settings(spark, spark.sparkContext.defaultParallelism):
+            finished(writer.trigger(**trigger).start())
+    return spark.read.parquet(f"{root}/out")
+
+
+@query
+def route_connected_stream(spark, sf):
+    """B1, B2 as a stream: changes connected with the rule stream, each by the rule of its time."""
+    return run_connected(spark, sf, "connected", [R.RULE_HISTORY], {"availableNow": True})
+
+
+@query
+def unmatched_released_stream(spark, sf):
+    """Changes that come before any rule wait and are released when a rule of their key arrives."""
+    steps = [R.RULE_HISTORY[2:], R.RULE_HISTORY[:2]]
+    return run_connected(spark, sf, "waiting", steps, {"once": True}, wait_ms=24 * 3600 * 1000)
+
+
+@query
+def connected_job_stream(spark, sf):
+    """The job over both streams, by its topics and the dimension in the catalog."""
+    root = shared_dir(spark, "connected_job")
+    source, sink, store = FileTopics(f"{root}/source"), FileTopics(f"{root}/out"), R.dim_store(root)
+    key = F.concat_ws("/", "tableName", F.col("seq").cast("string")).alias("key")
+    # Rules were written before the changes; two of them cannot be used.
+    bad = [(-3, "nation", "read", "hbase", "dim_nation", "n_name", "n_nationkey"), (-2, "nation", "update", "kafka", "a/b", "n_name", None)]
+    rules = R.rule_changes(spark, [*bad, *((seq - 10, *rule) for seq, *rule in R.ROUTING_RULES)])
+    changes = C.envelope_text(change_feed(R.shop_changes(spark, sf))).select(F.lit(RAW_CHANGE_TOPIC).alias("topic"), key, "value")
+    rules = C.envelope_text(rules).select(F.lit("rules").alias("topic"), key, "value")
+    broken = rules.limit(1).select("topic", F.lit("rules/-1").alias("key"), F.lit("{broken").alias("value"))
+    source.write_batch(changes.unionByName(rules).unionByName(broken), 0)
+    seq = F.split("key", "/")[1].cast("bigint")
+    messages, rule_messages = (source.stream(spark, topic).withColumn("seq", seq) for topic in (RAW_CHANGE_TOPIC, "rules"))
+    database = new_database(spark)
+    lanes = spark.sparkContext.defaultParallelism
+    job = jobs.start_connected_job(
+        messages, rule_messages, sink, store, f"{root}/checkpoint", lanes, database, order_by=("key",)
+    )
+    finished(job)
+    rows = sink.read(spark, ".*", pattern=True)
+    letter = F.from_json("value", "reason string, seq bigint")
+    rows = rows.select("topic", F.when(F.col("topic") == "dead_letter", letter["reason"]).alias("reason"), "key")
+    dims = spark.table(f"{database}.dim_customer").select(
+        F.lit("dim_customer").alias("topic"), F.lit(None).cast("string").alias("reason"), F.col("c_custkey").alias("key")
+    )
+    found = rows.unionByName(dims).groupBy("topic", "reason")
+    return found.agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys"))
+
+
 @query
 def route_asof_part_rules(spark, sf):
     """B2 with a history that grows with the data: every part's changes by the rules of its time."""
