@@ -401,3 +401,40 @@ SELECT tbl || '/' || seq AS key,
        CASE WHEN type = 'read' THEN 'no_rule' END AS reason
 FROM kept WHERE tbl = 'customer'
 UNION ALL SELECT tbl || '/' || seq, NULL, NULL, 0, reason FROM dead WHERE tbl <> 'customer' AND reason = 'no_rule'"""
+
+# Rules that every line of an order rewrites, read in chunks during passes 2 to 5.
+LINES = """
+WITH lines AS (
+  SELECT DISTINCT l_orderkey AS ord, CAST(l_linenumber AS BIGINT) AS num FROM lineitem),
+all_changes AS (
+  SELECT *, (num * 1000000000000 + ord) * 10 AS seq, ord % 4 AS chunk, (ord + num) % 50 = 0 AS broken FROM lines),
+windows AS (
+  SELECT CAST(c AS BIGINT) AS chunk, (c + 2) * 10000000000000 + 5 AS low, (c + 3) * 10000000000000 + 5 AS high,
+         ((c + 2) * 1000000000000 + 3000) * 10 + 5 AS read_at
+  FROM range(4) t(c)),
+read AS (
+  SELECT c.chunk, ord, max(num) AS num FROM all_changes c JOIN windows w ON c.chunk = w.chunk AND seq < read_at
+  GROUP BY c.chunk, ord HAVING max(num) <> 4)
+"""
+ORACLES["rule_snapshot_handover"] = LINES + """,
+kept AS (
+  SELECT r.*, w.low FROM read r JOIN windows w USING (chunk)
+  WHERE NOT EXISTS (SELECT 1 FROM all_changes c WHERE c.ord = r.ord AND NOT broken AND c.seq > w.low AND c.seq <= w.high))
+SELECT low AS seq, row_number() OVER (PARTITION BY chunk ORDER BY 'o' || ord) AS row, 'read' AS type, 'o' || ord AS source_table,
+       CAST(NULL AS VARCHAR) AS old_source_table, 'x' || num AS sink_table, CASE WHEN num = 3 THEN 'no_columns' END AS reason
+FROM kept
+UNION ALL
+SELECT seq, 0, CASE num WHEN 1 THEN 'insert' WHEN 4 THEN 'delete' ELSE 'update' END, CASE WHEN num <> 4 THEN 'o' || ord END,
+       CASE WHEN num <> 1 THEN 'o' || ord END, CASE WHEN num <> 4 THEN 'x' || num END,
+       CASE num WHEN 3 THEN 'no_columns' WHEN 4 THEN 'empty_rule' END
+FROM all_changes WHERE NOT broken AND seq > (SELECT min(low) FROM windows)
+UNION ALL SELECT seq, 0, NULL, NULL, NULL, NULL, 'bad_record' FROM all_changes WHERE broken"""
+ORACLES["rule_snapshot_state"] = LINES + """,
+good AS (SELECT * FROM all_changes WHERE NOT broken),
+seen AS (
+  SELECT ord, num, low AS seq FROM read JOIN windows w USING (chunk)
+  WHERE NOT EXISTS (SELECT 1 FROM good c WHERE c.ord = read.ord AND c.seq > w.low AND c.seq <= w.high)
+  UNION ALL SELECT ord, num, seq FROM good WHERE seq > (SELECT min(low) FROM windows)),
+events AS (SELECT *, num = 4 AS gone FROM seen WHERE num <> 3)
+SELECT 'o' || ord AS source_table, 'insert' AS operate_type, 'x' || arg_max(num, seq) AS sink_table
+FROM events GROUP BY ord HAVING NOT arg_max(gone, seq)"""

@@ -188,6 +188,51 @@ def rules_of_deleted_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.inline(wanted))
 
 
+# The changes of a table come in passes, one per line number, which are this far apart.
+PASS = 10**12
+CHUNKS = 4
+
+
+def line_rule_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule-table changes from ``lineitem``: every order is a rule, every line rewrites it.
+
+    Line 4 deletes the rule, line 3 leaves it without columns, and the text of every 50th change is broken.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    number, order = F.col("l_linenumber"), F.col("l_orderkey")
+    key = F.struct(F.concat(F.lit("o"), order.cast("string")).alias("source_table"), F.lit("insert").alias("operate_type"))
+    rule = F.struct(
+        key["source_table"].alias("source_table"), key["operate_type"].alias("operate_type"), F.lit("kafka").alias("sink_type"),
+        F.concat(F.lit("x"), number.cast("string")).alias("sink_table"), F.when(number != 3, "id").alias("sink_columns"),
+    )
+    op = F.when(number == 1, "c").when(number == 4, "d").otherwise("u")
+    record = F.to_json(F.struct(op.alias("op"), F.when(number != 1, key).alias("before"), F.when(number != 4, rule).alias("after")))
+    broken = (order + number) % 50 == 0
+    return lines.select(
+        F.lit("srv.rules.rules").alias("topic"), F.when(broken, "{broken").otherwise(record).alias("value"),
+        ((number * PASS + order) * 10).alias("seq"), "l_orderkey", "l_linenumber", broken.alias("broken"),
+    )
+
+
+def line_rule_chunks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The rules of :func:`line_rule_changes` read in chunks, and the marks around each chunk.
+
+    Chunk c is read during pass c + 2, when the orders up to 3000 have gone through it.
+    """
+    changes = line_rule_changes(spark, sf_dir)
+    chunk = (F.col("l_orderkey") % CHUNKS).cast("int")
+    read = changes.withColumn("chunk", chunk).where(F.col("seq") < ((F.col("chunk") + 2) * PASS + 3000) * 10 + 5)
+    last = read.groupBy("chunk", "l_orderkey").agg(F.max("l_linenumber").alias("line")).where("line <> 4")
+    rows = last.select(
+        "chunk", F.concat(F.lit("o"), F.col("l_orderkey").cast("string")).alias("source_table"), F.lit("insert").alias("operate_type"),
+        F.lit("kafka").alias("sink_type"), F.concat(F.lit("x"), F.col("line").cast("string")).alias("sink_table"),
+        F.when(F.col("line") != 3, "id").alias("sink_columns"),
+    )
+    low = (F.col("chunk") + 2) * PASS * 10 + 5
+    marks = spark.range(CHUNKS).select(F.col("id").cast("int").alias("chunk"))
+    return rows, marks.select("chunk", low.alias("low"), (low + PASS * 10).alias("high"))
+
+
 def part_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three changes per part, one of every type, in the table of its brand."""
     brand = F.lower(F.replace("p_brand", F.lit("#"), F.lit("_")))

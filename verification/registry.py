@@ -19,7 +19,7 @@ from tidewater.plans.logs import log_outputs, publishable
 from tidewater.schemas import RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
 from tidewater.session import shared_dir
 from tidewater.sinks.catalog import create_dim_tables, fill_dim_tables
-from tidewater.sources.feeds import change_feed, rule_feed
+from tidewater.sources.feeds import change_feed, rule_feed, rule_feed_letters, snapshot_with_changes
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
 from tidewater.sources.topics import FileTopics
 from tidewater.streaming import jobs
@@ -418,6 +418,29 @@ def rule_feed_snapshot(spark, sf):
     return now.select(*RULE_TEXT, "seq")
 
 
+@query
+def rule_snapshot_handover(spark, sf):
+    """Rules read in chunks while they change, with their changes; records that cannot be read are dead letters."""
+    changes = change_feed(R.line_rule_changes(spark, sf).select("topic", "value", "seq"))
+    chunks, marks = R.line_rule_chunks(spark, sf)
+    keys = ("source_table", "operate_type")
+    feed = snapshot_with_changes(chunks, marks, C.good_changes(changes), keys, "rules", "rules")
+    rules = U.checked_rules(U.bind_rules(feed, keep=("row",)))
+    good = rules.select("seq", "row", F.col("change_type").alias("type"), "source_table", "old_source_table", "sink_table", "reason")
+    letters = rule_feed_letters(changes).select("seq", F.lit(0).alias("row"), "reason")
+    return good.unionByName(letters, allowMissingColumns=True)
+
+
+@query
+def rule_snapshot_state(spark, sf):
+    """The rules in force after a snapshot in chunks are those after all changes."""
+    changes = change_feed(R.line_rule_changes(spark, sf).where("NOT broken").select("topic", "value", "seq"))
+    chunks, marks = R.line_rule_chunks(spark, sf)
+    feed = snapshot_with_changes(chunks, marks, C.good_changes(changes), ("source_table", "operate_type"), "rules", "rules")
+    now = U.current_rules(U.validate_rules(U.bind_rules(feed), honor_deletes=True), honor_deletes=True)
+    return now.select("source_table", "operate_type", "sink_table")
+
+
 @query
 def dim_tables(spark, sf):
     """Columns, order and key of every table that dimension rules ask for."""
