@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import jsonops as J
+from tidewater.functions.encoded import decoded, encoded_fields
 from tidewater.schemas import CHANGE_RECORD, ENVELOPE
 
 ENVELOPE_COLUMNS = ("database", "tableName", "before", "after", "type")
@@ -31,14 +32,14 @@ def parse_struct(value: Column, schema: str, strict: bool = False) -> Column:
     return F.from_json(value, f"{schema}, _bad string", options)
 
 
-def parse_change_records(df: DataFrame) -> DataFrame:
+def parse_change_records(df: DataFrame, decode: bool = False) -> DataFrame:
     """Landed change texts (``topic, value``) as ``topic, op, before, after``.
 
-    A record may be the text itself or stand in its ``payload``, beside a schema.
-    A text that is no change record keeps a NULL ``op`` and is reported by
-    :func:`normalize_changes`.
+    A record may be the text itself or stand in its ``payload``, beside a schema. With
+    ``decode`` values that the schema says are encoded are decoded. A text that is no change
+    record keeps a NULL ``op`` and is reported by :func:`normalize_changes`.
     """
-    record = f"{CHANGE_RECORD}, payload struct<{CHANGE_RECORD}>"
+    record = f"{CHANGE_RECORD}, payload struct<{CHANGE_RECORD}>" + (", schema variant" if decode else "")
     parsed = J.with_computed(df, record=parse_struct(F.col("value"), record))
     good = F.col("record._bad").isNull()
     inner = F.col("record.payload").isNotNull()
@@ -46,7 +47,12 @@ def parse_change_records(df: DataFrame) -> DataFrame:
         name: F.when(good, F.when(inner, F.col(f"record.payload.{name}")).otherwise(F.col(f"record.{name}")))
         for name in ("op", "before", "after")
     }
-    return parsed.withColumns(fields).drop("record")
+    if not decode:
+        return parsed.withColumns(fields).drop("record")
+    parsed = J.with_computed(parsed, **fields, encoded=F.when(good & inner, encoded_fields(F.col("record.schema"))))
+    images = {name: decoded(F.col(name), F.col("encoded")) for name in ("before", "after")}
+    images = {name: F.when(F.size("encoded") > 0, image).otherwise(F.col(name)) for name, image in images.items()}
+    return J.with_computed(parsed, **images).drop("record", "encoded")
 
 
 def operation_type(op: Column) -> Column:

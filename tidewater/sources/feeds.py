@@ -21,12 +21,13 @@ from tidewater.session import broadcast_if_small, computed_once
 SNAPSHOT_SEQ = -1
 
 
-def change_feed(messages: DataFrame, **options: bool) -> DataFrame:
+def change_feed(messages: DataFrame, decode: bool = False, **options: bool) -> DataFrame:
     """Landed change messages (``topic, value``) as envelopes with ``reason``.
 
-    A message without a value is the tombstone that follows a delete, and is skipped.
+    A message without a value is the tombstone that follows a delete, and is skipped. With
+    ``decode`` values that a record's schema block says are encoded are decoded.
     """
-    return normalize_changes(parse_change_records(messages.where("value IS NOT NULL")), **options)
+    return normalize_changes(parse_change_records(messages.where("value IS NOT NULL"), decode), **options)
 
 
 def row_image(*columns: str) -> Column:

@@ -80,10 +80,14 @@ def start_capture_job(
     order_by: Sequence[str] = ORDER_COLUMNS,
     trigger: Mapping = AVAILABLE_NOW,
     drop_nulls: bool = True,
+    decode: bool = False,
 ) -> StreamingQuery:
-    """Landed change records to envelopes in the raw change topic."""
+    """Landed change records to envelopes in the raw change topic.
+
+    ``decode`` is for connectors that encode decimals, dates and times by a schema block.
+    """
     tombstones = F.count_if(F.col("value").isNull()).alias("tombstones")
-    feed = change_feed(messages.observe("landed", tombstones), drop_nulls=drop_nulls)
+    feed = change_feed(messages.observe("landed", tombstones), decode, drop_nulls=drop_nulls)
     dead = F.col("reason").isNotNull()
     feed = feed.withColumn("raw", F.col("value"))
     texts = envelope_text(feed).withColumns(

@@ -438,3 +438,12 @@ seen AS (
 events AS (SELECT *, num = 4 AS gone FROM seen WHERE num <> 3)
 SELECT 'o' || ord AS source_table, 'insert' AS operate_type, 'x' || arg_max(num, seq) AS sink_table
 FROM events GROUP BY ord HAVING NOT arg_max(gone, seq)"""
+ORACLES["capture_encoded_values"] = """
+WITH c AS (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+SELECT o_orderkey AS seq, 'insert' AS type,
+       CAST(CAST(CASE WHEN o_orderkey % 2 = 1 THEN -cents ELSE cents END AS DECIMAL(30, 2)) / 100 AS DECIMAL(30, 2))::VARCHAR AS price,
+       regexp_replace((o_orderkey::HUGEINT * 18446744073709551616 + cents)::VARCHAR, '(.{5})$', '.\\1') AS total,
+       strftime(o_orderdate, '%Y-%m-%d') AS day,
+       regexp_replace(strftime(o_orderdate + to_microseconds(o_orderkey), '%Y-%m-%d %H:%M:%S.%f'), '\\.?0*$', '') AS at,
+       o_orderstatus AS status, CAST(NULL AS VARCHAR) AS reason
+FROM c"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +82,37 @@ def raw_changes(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFr
     )
 
 
+def encoded_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order changes with a schema block and encoded values, and the key as ``seq``.
+
+    ``price`` is in cents, negative for odd keys and in 16 bytes for every third; ``total``
+    has more digits than a 64-bit number; ``day`` and ``at`` count days and microseconds.
+    """
+    key = F.col("o_orderkey")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint") * F.when(key % 2 == 1, -1).otherwise(1)
+    fill = F.when(cents < 0, "F").otherwise("0")
+    price = F.concat(F.when(key % 3 == 0, F.repeat(fill, F.lit(16))).otherwise(""), F.lpad(F.hex(cents), F.lit(16), F.lit("0")))
+    # The high 64 bits are the key, the low ones the cents.
+    total = F.concat(F.lpad(F.hex(key), F.lit(16), F.lit("0")), F.lpad(F.hex(F.abs(cents)), F.lit(16), F.lit("0")))
+    bytes_of = lambda digits: F.base64(F.to_binary(digits, F.lit("hex")))
+    micros = F.unix_micros(F.col("o_orderdate").cast("timestamp")) + key
+    row = F.struct(
+        key.alias("id"), bytes_of(price).alias("price"), bytes_of(total).alias("total"),
+        F.datediff("o_orderdate", F.lit("1970-01-01")).alias("day"), micros.alias("at"), F.col("o_orderstatus").alias("status"),
+    )
+    decimal = "org.apache.kafka.connect.data.Decimal"
+    column = lambda name, kind, encoding=None, scale=None: {
+        "field": name, "type": kind, **({"name": encoding} if encoding else {}), **({"parameters": {"scale": scale}} if scale else {}),
+    }
+    columns = [
+        column("id", "int64"), column("price", "bytes", decimal, "2"), column("total", "bytes", decimal, "5"),
+        column("day", "int32", "io.debezium.time.Date"), column("at", "int64", "io.debezium.time.MicroTimestamp"), column("status", "string"),
+    ]
+    block = json.dumps({"type": "struct", "fields": [{"field": image, "type": "struct", "fields": columns} for image in ("before", "after")]})
+    record = F.concat(F.lit(f'{{"schema": {block}, "payload": {{"op": "c", "after": '), F.to_json(row), F.lit("}}"))
+    return table(spark, sf_dir, "orders").select(F.lit("srv.shop.orders").alias("topic"), record.alias("value"), key.alias("seq"))
+
+
 def shop_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change records of three tables, as one source."""
     orders = raw_changes(spark, sf_dir, "orders", "o_orderkey")

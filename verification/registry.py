@@ -737,6 +737,15 @@ def capture_wrapped_records(spark, sf):
     return feed.select("seq", "database", "tableName", "type", name, "reason")
 
 
+@query
+def capture_encoded_values(spark, sf):
+    """N1c, N1d, D12: decimals, days and microseconds as a connector encodes them, decoded with their scale."""
+    feed = change_feed(R.encoded_changes(spark, sf), decode=True)
+    after = F.col("after")
+    names = ("price", "total", "day", "at", "status")
+    return feed.select("seq", "type", *[J.path_string(after[name]).alias(name) for name in names], "reason")
+
+
 @query
 def rules_bad_names(spark, sf):
     """Rules whose table or topic cannot be written are rejected, with the reason."""
