@@ -43,7 +43,7 @@ class Feeds:
         messages, rules = (
             FileTopics(f"{self.root}/{name}", 1 if trigger is None else None)
             .stream(self.spark, name)
-            .withColumn("seq", F.col("key").cast("bigint"))
+            .withColumn("seq", F.col("key").try_cast("bigint"))
             for name in ("changes", "rules")
         )
         query = jobs.start_connected_job(
@@ -147,6 +147,19 @@ def test_changes_that_waited_too_long_are_dead_letters(spark, tmp_path):
     assert len(feeds.published()) == 11  # nothing waits any more
 
 
+def test_large_and_missing_order(spark, tmp_path):
+    """Positions beyond 2**53 stay apart, also beside a message whose position is not a number."""
+    feeds, base = Feeds(spark, str(tmp_path)), 2**60
+    rules = [(base + i, rule("t", "insert", "kafka", f"v{i}", "id")) for i in range(4)]
+    feeds.add("rules", rules)
+    rows = [(base + i, envelope("t", "insert", {"id": i})) for i in range(4)]
+    feeds.add("changes", [*rows, ("x", envelope("t", "insert", {"id": 9}))])
+    feeds.run()
+    assert feeds.published() == sorted(
+        [(f"v{i}", str(base + i), json.dumps({"id": i}, separators=(",", ":"))) for i in range(4)] + [("dead_letter", "x", "no_rule")]
+    )
+
+
 def test_waiting_needs_a_trigger_that_goes_on(spark, tmp_path):
     feeds = Feeds(spark, str(tmp_path))
     feeds.add("rules", [(1, rule("u", "insert", "kafka", "u", "id"))])

@@ -21,7 +21,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -34,6 +34,8 @@ from tidewater.operators.rules import RULE_BODY, RULE_KEY, bind_rules, checked_r
 RULE, CHANGE, TABLE = 0, 1, 2
 LANE_ROW = "kind int, seq bigint, source_table string, operate_type string, origin string, body string, reason string"
 WAITING = "seq bigint, source_table string, operate_type string, origin string, body string, arrived bigint"
+# Stands for no ``seq`` inside the lanes, where a NULL would turn the numbers into floats.
+NO_SEQ = -(1 << 63)
 EVENT = (*RULE_KEY, *RULE_BODY, "change_type", "old_source_table", "old_operate_type")
 TIME_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 BODY = "sink_type string, sink_table string, columns array<string>, sink_pk string, sink_extend string"
@@ -46,7 +48,7 @@ def lane_rules(messages: DataFrame, lanes: int, trim_columns: bool = False) -> D
     event = F.to_json(F.struct(*EVENT), {"ignoreNullFields": "false"})
     broken = F.col("broken").isNotNull()
     rows = bound.select(
-        F.lit(RULE).alias("kind"), F.col("seq").cast("bigint").alias("seq"), *RULE_KEY, F.lit(None).cast("string").alias("origin"),
+        F.lit(RULE).alias("kind"), _numbered("seq"), *RULE_KEY, F.lit(None).cast("string").alias("origin"),
         F.when(broken, F.col("value")).otherwise(event).alias("body"), F.coalesce("broken", "reason").alias("reason"),
     )
     return rows.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))))
@@ -56,12 +58,16 @@ def lane_changes(messages: DataFrame, lanes: int, order_by: Sequence[str], seq:
     """Messages with envelopes, without deletions, each in one lane."""
     parsed = drop_deletes(parse_envelopes(messages))
     return parsed.select(
-        F.lit(CHANGE).alias("kind"), F.col(seq).cast("bigint").alias("seq"), F.col("tableName").alias("source_table"),
+        F.lit(CHANGE).alias("kind"), _numbered(seq), F.col("tableName").alias("source_table"),
         F.col("type").alias("operate_type"), F.to_json(F.struct(*order_by), TIME_FORMAT).alias("origin"), F.col("value").alias("body"),
         "reason", F.pmod(F.xxhash64(*order_by), F.lit(lanes)).cast("int").alias("lane"),
     )
 
 
+def _numbered(seq: str) -> Column:
+    return F.coalesce(F.col(seq).cast("bigint"), F.lit(NO_SEQ)).alias("seq")
+
+
 def connect_rules(
     messages: DataFrame,
     rule_messages: DataFrame,
@@ -78,12 +84,13 @@ def connect_rules(
     ``wait_ms`` the query has no last batch, so it needs a trigger other than ``availableNow``.
     """
     rows = lane_rules(rule_messages, lanes, trim_columns).unionByName(lane_changes(messages, lanes, order_by, seq))
-    return rows.groupBy("lane").transformWithStateInPandas(
+    connected = rows.groupBy("lane").transformWithStateInPandas(
         statefulProcessor=rule_lane(honor_deletes, wait_ms),
         outputStructType=T.StructType.fromDDL(f"{LANE_ROW}, rule string"),
         outputMode="Append",
         timeMode="ProcessingTime" if wait_ms else "None",
     )
+    return connected.withColumn("seq", F.nullif("seq", F.lit(NO_SEQ)))
 
 
 def connected_changes(connected: DataFrame, order_fields: T.StructType) -> DataFrame:
@@ -168,32 +175,31 @@ def rule_lane(honor_deletes: bool, wait_ms: int | None) -> StatefulProcessor:
         def learn(self, rules: pd.DataFrame, history: TextMap, report: bool) -> Iterator[pd.DataFrame]:
             book = RuleBook(honor_deletes, history, TextMap(self.table_state))
             out = []
-            for row in rules.sort_values(["seq", "body"], na_position="first").to_dict("records"):
+            for row in rules.sort_values(["seq", "body"]).to_dict("records"):
                 broken = row["reason"] if isinstance(row["reason"], str) else None
                 event = {} if broken == "bad_envelope" else json.loads(row["body"])
-                seq = None if pd.isna(row["seq"]) else int(row["seq"])
-                reason = broken if not event else book.take({**event, "seq": -1 if seq is None else seq, "reason": broken})
+                reason = book.take({**event, "seq": int(row["seq"]), "reason": broken}) if event else broken
                 deleted = honor_deletes and event.get("change_type") == "delete"
                 if reason and not deleted:
-                    out.append({**row, "kind": RULE, "seq": seq, "reason": reason})
+                    out.append({**row, "kind": RULE, "reason": reason})
                 elif event.get("sink_type") == "dim":
-                    out.append({**row, "kind": TABLE, "seq": seq, "source_table": event["sink_table"]})
+                    out.append({**row, "kind": TABLE, "source_table": event["sink_table"]})
             if report and out:
-                yield pd.DataFrame(out).assign(rule=None)[names].astype({"seq": "Int64"})
+                yield pd.DataFrame(out).assign(rule=None)[names]
 
         def with_rules(self, chunk: pd.DataFrame, history: TextMap) -> pd.DataFrame:
             """``rule`` of every row, and whether its key has none yet."""
             rule = np.full(len(chunk), None, dtype=object)
             unknown = np.zeros(len(chunk), dtype=bool)
-            seqs = chunk["seq"].to_numpy(dtype=float, na_value=np.nan)
+            seqs = chunk["seq"].to_numpy(dtype=np.int64)
             for (source, operate), places in chunk.groupby(list(RULE_KEY), dropna=False, sort=False).indices.items():
                 entries = history.get(rule_key(*(None if pd.isna(name) else name for name in (source, operate))))
                 if not entries:
                     unknown[places] = True
                     continue
                 bodies = [None if body is None else json.dumps(body) for _, body in entries]
-                at = np.searchsorted(np.array([seq for seq, _ in entries], dtype=float), seqs[places], side="right") - 1
-                at[np.isnan(seqs[places])] = -1
+                at = np.searchsorted(np.array([seq for seq, _ in entries]), seqs[places], side="right") - 1
+                at[seqs[places] == NO_SEQ] = -1
                 early = next((body for body in bodies if body), None) if wait_ms else None
                 rule[places] = np.array([*bodies, early], dtype=object)[at]
             return chunk.assign(rule=rule, unknown=unknown)
@@ -211,7 +217,7 @@ def rule_lane(honor_deletes: bool, wait_ms: int | None) -> StatefulProcessor:
         def as_rows(rows: pd.DataFrame) -> list[tuple]:
             plain = rows.astype(object).where(rows.notna(), None)
             return [
-                (None if seq is None else int(seq), source, operate, origin, body, int(arrived))
+                (int(seq), source, operate, origin, body, int(arrived))
                 for seq, source, operate, origin, body, arrived in plain.itertuples(index=False, name=None)
             ]
 
