@@ -1,16 +1,18 @@
 import json
 import random
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidewater.operators.logs import good_logs, parse_logs
 from tidewater.plans.logs import log_outputs
 from tidewater.session import session_conf
 from tidewater.sinks.dim_store import DimStore
-from tidewater.sources.topics import FileTopics
+from tidewater.sources.topics import FileTopics, without_repeats_within
 from tidewater.streaming import jobs
-from tidewater.streaming.visitors import later_in_batch
+from tidewater.streaming.visitors import known_devices, later_in_batch
 
 SCHEMA = "seq bigint, value string"
 
@@ -236,3 +238,39 @@ def test_dim_stream_does_not_depend_on_the_cut(spark, tmp_path):
     jobs.start_dim_job(rows, store, str(tmp_path / "ck"), compact_every=2).awaitTermination()
     found = {int(r.id): {"a": r.a, "b": r.b} for r in store.table(spark, "d", ("id", "a", "b")).collect()}
     assert found == expected
+
+
+def test_devices_known_before_the_stream(spark, tmp_path):
+    """A stream that begins with the devices of a batch, over a restart; its state holds one entry per device."""
+    folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    rows = [(seq, record(seq, f"m{seq % 7}", "1" if seq % 3 else "0")) for seq in range(60)]
+    older = spark.createDataFrame(rows[:20], SCHEMA)
+    known = known_devices(good_logs(parse_logs(older))).unionByName(spark.createDataFrame([(None,), ("m0",)], "mid string"))
+    add_file(spark, folder, rows[20:40])
+    run_logs(spark, folder, out, checkpoint, known=known)
+    add_file(spark, folder, rows[40:] + [(60, record(60, "late", "1"))])
+    run_logs(spark, folder, out, checkpoint, known=known)
+    expected = batch_result(spark, rows + [(60, record(60, "late", "1"))])
+    assert published(spark, out) == [r for r in expected if r[0] >= 20]
+    state = spark.read.format("statestore").option("stateVarName", "seen").load(checkpoint)
+    devices = [r.device for r in state.selectExpr("key.device AS device").collect()]
+    assert sorted(devices) == sorted({f"m{i}" for i in range(7)} | {"late"})
+
+
+def test_repeats_of_a_topic_are_dropped_and_forgotten(spark, tmp_path):
+    """Repeats within the time are dropped; the keys of older messages leave the state."""
+    folder, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    schema = "topic string, key string, value string, timestamp timestamp"
+
+    def run(*messages):
+        spark.createDataFrame([(t, k, v, datetime(2024, 1, 1, hour)) for t, k, v, hour in messages], schema).coalesce(1).write.mode("append").parquet(folder)
+        rows = without_repeats_within(spark.readStream.schema(schema).parquet(folder), "1 hour")
+        query = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+    assert run(("a", "1", "x", 1), ("a", "1", "x", 1), ("b", "1", "y", 1), ("a", "2", "z", 1)) == 3
+    assert run(("a", "1", "x", 1), ("a", "3", "w", 2)) == 4
+    assert run(("a", "9", "u", 9)) == 1
+    found = sorted((r.topic, r.key) for r in spark.read.schema(schema).parquet(out).collect())
+    assert found == [("a", "1"), ("a", "2"), ("a", "3"), ("a", "9"), ("b", "1")]

@@ -99,6 +99,16 @@ def without_repeats(rows: DataFrame) -> DataFrame:
     return rows.dropDuplicates(["topic", "key"])
 
 
+def without_repeats_within(rows: DataFrame, within: str = "1 hour") -> DataFrame:
+    """The same for a stream, for repeats that come at most ``within`` after the first in ``timestamp``.
+
+    A key is forgotten when the stream has gone on for longer than that, so the state holds
+    the messages of ``within`` and not of the topic. Choose it longer than a sink may take
+    from its first try of a batch to the last.
+    """
+    return rows.withWatermark("timestamp", within).dropDuplicatesWithinWatermark(["topic", "key"])
+
+
 def _messages(records: DataFrame) -> DataFrame:
     text = {name: F.col(name).cast("string") for name in ("key", "value")}
     return records.withColumns(text).select(*MESSAGE_COLUMNS)

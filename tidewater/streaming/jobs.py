@@ -54,17 +54,19 @@ def start_log_job(
     trigger: Mapping = AVAILABLE_NOW,
     ttl_ms: int | None = None,
     state_partitions: int | None = None,
+    known: DataFrame | None = None,
 ) -> StreamingQuery:
     """Raw logs to start, page, display and dead-letter topics.
 
     ``messages`` has ``value`` and the ``order_by`` columns. Counts per topic are
     observed under the name ``log_outputs``. ``state_partitions`` spreads the device
     state and cannot change once the checkpoint exists. With ``ttl_ms`` the query has
-    no last batch, so it needs a trigger other than ``availableNow``.
+    no last batch, so it needs a trigger other than ``availableNow``. ``known`` devices were
+    seen before the stream begins.
     """
     if ttl_ms and "availableNow" in trigger:
         raise ValueError("state that expires needs a trigger other than availableNow")
-    repaired = repair_is_new_stream(parse_logs(messages), order_by, ttl_ms, state_partitions)
+    repaired = repair_is_new_stream(parse_logs(messages), order_by, ttl_ms, state_partitions, known)
     outputs = route_logs(repaired, keep=order_by)
     topics = (START_TOPIC, PAGE_TOPIC, DISPLAY_TOPIC, DEAD_LETTER_TOPIC)
     counts = [F.count_if(F.col("topic") == name).alias(name) for name in topics]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidewater.operators.logs import KNOWN_VISITOR, NEW_VISITOR, split_flagged, union_repaired
+from tidewater.operators.logs import KNOWN_VISITOR, NEW_VISITOR, is_flagged, split_flagged, union_repaired
 from tidewater.session import session_conf
 
 # Keyed state needs RocksDB; with a changelog a commit uploads what changed, not the whole state.
@@ -28,12 +28,15 @@ def repair_is_new_stream(
     order_by: Sequence[str] = ("seq",),
     ttl_ms: int | None = None,
     state_partitions: int | None = None,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """Streaming form of ``repair_is_new``; the first row of a device may be in an earlier batch.
 
     Within a micro-batch "first" follows ``order_by``; later batches never change
     earlier output. State lasts for good unless ``ttl_ms`` is set, after which a
-    returning device counts as new again.
+    returning device counts as new again. ``known`` has the devices (``mid``) that were seen
+    before the stream begins, say by a batch run over older logs; the first run of a
+    checkpoint puts them into the state.
 
     Only rows that claim a new visitor reach the stateful operator. Of those, rows that
     come after another one of the same device in the same Arrow batch are settled before
@@ -53,11 +56,16 @@ def repair_is_new_stream(
         }
     )
     output = T.StructType([*flagged.schema.fields, T.StructField("repaired", T.BooleanType())])
+    before = None
+    if known is not None:
+        devices = known.where("mid IS NOT NULL").select(F.col("mid").alias("device"), F.lit(-1).alias("lane"))
+        before = devices.distinct().groupBy("device", "lane")
     checked = keyed.groupBy("device", "lane").transformWithState(
         statefulProcessor=first_visit(flagged.columns, order_by, ttl_ms),
         outputStructType=output,
         outputMode="Append",
         timeMode="ProcessingTime" if ttl_ms else "None",
+        initialState=before,
     )
     return union_repaired(df, checked, rest)
 
@@ -78,6 +86,11 @@ def later_in_batch():
     return F.pandas_udf(mark, "boolean").asNondeterministic()
 
 
+def known_devices(parsed: DataFrame) -> DataFrame:
+    """Devices that a batch of parsed logs has seen as new visitors: ``mid``."""
+    return parsed.where(is_flagged()).select("mid").distinct()
+
+
 def first_visit(columns: Sequence[str], order_by: Sequence[str], ttl_ms: int | None) -> StatefulProcessor:
     """Processor that keeps ``'1'`` on the first row of a device and sets others to ``'0'``.
 
@@ -90,7 +103,10 @@ def first_visit(columns: Sequence[str], order_by: Sequence[str], ttl_ms: int | N
     class FirstVisit(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             schema = T.StructType([T.StructField("is_new", T.StringType())])
-            self.seen = handle.getValueState("isNew", schema, ttl_ms)
+            self.seen = handle.getValueState("seen", schema, ttl_ms)
+
+        def handleInitialState(self, key, initialState, timerValues) -> None:
+            self.seen.update((new,))
 
         def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
             if key[1] >= 0 or self.seen.exists():

@@ -48,8 +48,18 @@ ORACLES["route_page"] = LOGS + f"SELECT {RECORD} FROM pages"
 ORACLES["route_display"] = LOGS + """
 SELECT seq, CAST(item AS INTEGER) AS item, 'view' AS page_id, false AS has_common FROM shown"""
 ORACLES["topic_counts"] = LOGS + COUNTS
-ORACLES["log_topic_sink"] = LOGS + f"SELECT topic, n, n AS keys FROM ({COUNTS})"
+ORACLES["log_topic_sink"] = LOGS + """
+SELECT topic, count(*) AS n, count(*) AS keys, CAST(sum(v) AS BIGINT) AS total FROM (
+  SELECT 'dwd_start_log' AS topic, coalesce(k, 0) + 1000 * CAST(is_new AS BIGINT) AS v FROM starts
+  UNION ALL SELECT 'dwd_page_log', coalesce(k, 0) + 1000 * CAST(is_new AS BIGINT) FROM pages
+  UNION ALL SELECT 'dwd_display_log', item FROM shown
+  UNION ALL SELECT 'dead_letter', seq FROM logs WHERE kind = 'error') GROUP BY topic"""
 ORACLES["log_job_stream"] = ORACLES["log_topic_sink"]
+ORACLES["topic_dedup_stream"] = ORACLES["log_topic_sink"]
+ORACLES["log_files_growing"] = LOGS + """
+SELECT CASE WHEN kind <> 'error' THEN mid END AS mid, CASE WHEN kind <> 'error' THEN flag END AS is_new,
+       CASE WHEN kind = 'error' THEN 'bad_json' END AS reason, count(*) AS n
+FROM logs GROUP BY 1, 2, 3"""
 ORACLES["json_functions"] = LOGS + """
 SELECT seq, mid,
        CASE WHEN kind IN ('view', 'click', 'purchase') THEN kind END AS page_id,
@@ -81,6 +91,7 @@ FROM flags GROUP BY mid"""
 ORACLES["is_new_stream"] = LOGS + """
 SELECT 'dwd_start_log' AS topic, seq, mid, is_new FROM starts
 UNION ALL SELECT 'dwd_page_log', seq, mid, is_new FROM pages"""
+ORACLES["is_new_backfilled_stream"] = ORACLES["is_new_stream"]
 ORACLES["log_files_stream"] = LOGS + """
 SELECT topic, mid, count(*) AS n, count(*) FILTER (WHERE is_new = '1') AS n_new
 FROM (SELECT 'dwd_start_log' AS topic, * FROM starts
@@ -162,12 +173,12 @@ FROM kept JOIN customer ON seq = c_custkey
 WHERE tbl = 'customer' AND type IN ('insert', 'update')"""
 ORACLES["route_unmatched"] = SHOP + """
 SELECT seq, reason, 'route_changes' AS stage, tbl AS "tableName", type FROM dead"""
-TOPICS = """
-SELECT CASE type WHEN 'insert' THEN 'dwd_orders' ELSE 'dwd_orders_upd' END AS topic, count(*) AS n
-FROM kept WHERE tbl = 'orders' AND type IN ('insert', 'update') GROUP BY 1
-UNION ALL SELECT 'dead_letter', count(*) FROM dead
-"""
-ORACLES["change_topic_sink"] = SHOP + f"SELECT topic, n, n AS keys FROM ({TOPICS})"
+ORACLES["change_topic_sink"] = SHOP + """
+SELECT CASE type WHEN 'insert' THEN 'dwd_orders' ELSE 'dwd_orders_upd' END AS topic, count(*) AS n, count(*) AS keys,
+       CAST(sum(CASE type WHEN 'insert' THEN CAST(round(o_totalprice * 100) AS BIGINT) + o_custkey ELSE ascii(o_orderstatus) END
+                + seq) AS BIGINT) AS total
+FROM kept JOIN orders ON seq = o_orderkey WHERE tbl = 'orders' AND type IN ('insert', 'update') GROUP BY 1
+UNION ALL SELECT 'dead_letter', count(*), count(*), CAST(sum(length(reason)) AS BIGINT) FROM dead"""
 ORACLES["change_job_topics"] = ORACLES["change_topic_sink"]
 ORACLES["connected_job_stream"] = SHOP + """
 SELECT CASE type WHEN 'insert' THEN 'dwd_orders' ELSE 'dwd_orders_upd' END AS topic, CAST(NULL AS VARCHAR) AS reason,

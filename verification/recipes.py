@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,40 @@ def log_text(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     return events.select(F.col("event_id").alias("seq"), value.alias("value"), *extra)
 
 
+# How far the logs have come, as shares of all lines, and whether the open files have been rolled.
+GROWTH = ((0.3, False), (0.6, False), (1.0, True))
+ROLLED_SHARE = 0.8
+
+
+def write_growing_logs(spark: SparkSession, sf_dir: str, root: str, step: tuple[float, bool]) -> None:
+    """Log texts as the open logs of three collectors, written up to a share of all lines.
+
+    What was there before stays as it is, so a task that runs again writes the same files. A
+    rolled log has the first lines under the name of a day, and the open one goes on anew.
+    """
+    share, rolled = step
+    last = table(spark, sf_dir, "events").agg(F.max("event_id").alias("last")).first().last
+    rows = log_text(spark, sf_dir).where(F.col("seq") <= share * last)
+    rows = rows.withColumn("folder", (F.col("seq") % 3).cast("string"))
+    rows = rows.withColumn("old", F.lit(rolled) & (F.col("seq") <= ROLLED_SHARE * last))
+    folder_of = root.removeprefix("file://").removeprefix("file:")
+
+    def write(batches):
+        paths = {}
+        for batch in batches:
+            for (folder, old), lines in batch.groupby(["folder", "old"], sort=False):
+                name = "app.2024-06-01.log" if old else "app.log"
+                path = f"{folder_of}/{folder}/{name}"
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                with open(path, "ab" if path in paths else "wb") as file:
+                    file.write("".join(line + "\n" for line in lines["value"]).encode())
+                paths[path] = True
+        yield from ()
+
+    ordered = rows.repartition("folder").sortWithinPartitions("folder", F.col("old").desc(), "seq")
+    ordered.mapInPandas(write, "seq bigint").count()
+
+
 def raw_changes(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """Landed change records ``topic, value, seq`` for a table; the key picks the operation."""
     rows = table(spark, sf_dir, name)

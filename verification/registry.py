@@ -20,11 +20,12 @@ from tidewater.schemas import RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
 from tidewater.session import shared_dir
 from tidewater.sinks.catalog import create_dim_tables, fill_dim_tables
 from tidewater.sources.feeds import change_feed, rule_feed, rule_feed_letters, snapshot_with_changes
+from tidewater.sources.growinglogs import stream_growing_logs
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
-from tidewater.sources.topics import FileTopics
+from tidewater.sources.topics import FileTopics, without_repeats_within
 from tidewater.streaming import jobs
 from tidewater.streaming.lanes import connect_rules, connected_changes
-from tidewater.streaming.visitors import state_settings
+from tidewater.streaming.visitors import known_devices, state_settings
 from verification import recipes as R
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,11 +105,37 @@ def topic_counts(spark, sf):
 
 @query
 def log_topic_sink(spark, sf):
-    """All log outputs written to file-backed topics and read back."""
+    """All log outputs written to file-backed topics and read back, by counts and a sum over their values."""
     topics = FileTopics(shared_dir(spark, "log_topics"))
     topics.write_batch(publishable(log_outputs(R.log_text(spark, sf)), ("seq",), "log_job"), 0)
-    rows = topics.read(spark, ".*", pattern=True)
-    return rows.groupBy("topic").agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys"))
+    return log_totals(topics.read(spark, ".*", pattern=True))
+
+
+def log_totals(rows: DataFrame) -> DataFrame:
+    """Rows, keys and a sum over the values of every log topic."""
+    record = F.parse_json("value")
+    number = lambda path: F.coalesce(F.try_variant_get(record, path, "bigint"), F.lit(0))
+    value = (
+        F.when(F.col("topic") == "dead_letter", number("$.seq"))
+        .when(F.col("topic") == "dwd_display_log", number("$.item"))
+        .otherwise(number("$.props.k") + 1000 * number("$.common.is_new"))
+    )
+    keys = F.countDistinct("key").alias("keys")
+    return rows.groupBy("topic").agg(F.count("*").alias("n"), keys, F.sum(value).alias("total"))
+
+
+@query
+def topic_dedup_stream(spark, sf):
+    """A topic that holds one batch twice, read as a stream without the repeats."""
+    root = shared_dir(spark, "topic_dedup")
+    topics = FileTopics(f"{root}/topics")
+    out = publishable(log_outputs(R.log_text(spark, sf)), ("seq",), "log_job")
+    topics.write_batch(out, 0, "first")
+    topics.write_batch(out.where("topic <> 'dwd_page_log'"), 0, "repeated")
+    rows = without_repeats_within(topics.stream(spark, ".*", pattern=True)).select("topic", "key", "value")
+    writer = rows.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+    finished(writer.trigger(availableNow=True).start())
+    return log_totals(spark.read.parquet(f"{root}/out"))
 
 
 @query
@@ -223,9 +250,41 @@ def is_new_stream(spark, sf):
 
 @query
 def log_job_stream(spark, sf):
-    """The log job end to end: rows and distinct keys per topic."""
-    rows = run_log_job(spark, sf)
-    return rows.groupBy("topic").agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys"))
+    """The log job end to end: rows, distinct keys and a sum over the values per topic."""
+    return log_totals(run_log_job(spark, sf))
+
+
+@query
+def is_new_backfilled_stream(spark, sf):
+    """Older logs in a batch, later ones in a stream that begins with the devices of the batch."""
+    root = shared_dir(spark, "backfill")
+    source = R.stage_logs(spark, sf, root)
+    half = R.table(spark, sf, "events").agg(F.floor(F.max("event_id") / 2).cast("bigint").alias("seq")).first().seq
+    older = R.log_text(spark, sf).where(F.col("seq") <= F.lit(half))
+    sink = FileTopics(f"{root}/out")
+    messages = R.with_seq(source.stream(spark, RAW_LOG_TOPIC)).where(F.col("seq") > F.lit(half))
+    known = known_devices(L.good_logs(L.parse_logs(older)))
+    partitions = spark.sparkContext.defaultParallelism
+    finished(
+        jobs.start_log_job(messages, sink, f"{root}/checkpoint", ("seq",), state_partitions=partitions, known=known)
+    )
+    later = sink.read(spark, "dwd_start_log,dwd_page_log").select("topic", "key", "value")
+    rows = publishable(log_outputs(older), ("seq",), "log_job").where("topic in ('dwd_start_log', 'dwd_page_log')").unionByName(later)
+    seq = F.split("key", "/")[0].cast("bigint").alias("seq")
+    return rows.select("topic", seq, field("$.common.mid", "mid"), field("$.common.is_new", "is_new"))
+
+
+@query
+def log_files_growing(spark, sf):
+    """The open logs of three collectors as they grow, are rolled and begin anew, each line once."""
+    root = shared_dir(spark, "log_files_growing")
+    for step in R.GROWTH:
+        R.write_growing_logs(spark, sf, f"{root}/logs", step)
+        parsed = L.parse_logs(stream_growing_logs(spark, f"{root}/logs", 1 << 16)).select("mid", "is_new", "reason", "file", "position")
+        writer = parsed.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        finished(writer.trigger(availableNow=True).start())
+    rows = spark.read.parquet(f"{root}/out")
+    return rows.groupBy("mid", "is_new", "reason").agg(F.count("*").alias("n"))
 
 
 @query
@@ -594,13 +653,24 @@ def route_by_part_rules(spark, sf):
 
 @query
 def change_topic_sink(spark, sf):
-    """Facts and dead letters written to dynamic topics and read back."""
+    """Facts and dead letters written to dynamic topics and read back, by counts and a sum over their values."""
     topics = FileTopics(shared_dir(spark, "change_topics"))
     raw = C.envelope_text(change_feed(R.shop_changes(spark, sf))).select("seq", "value", "tableName")
     out = change_outputs(routed_changes(raw, R.rule_changes(spark)))
     topics.write_batch(publishable(out, ("tableName", "seq"), "change_job"), 0)
-    rows = topics.read(spark, ".*", pattern=True)
-    return rows.groupBy("topic").agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys"))
+    return change_totals(topics.read(spark, ".*", pattern=True))
+
+
+def change_totals(rows: DataFrame) -> DataFrame:
+    """Rows, keys and a sum over the values of every fact topic and of the dead letters."""
+    record = F.parse_json("value")
+    number = lambda path, kind="bigint": F.coalesce(F.try_variant_get(record, path, kind), F.lit(0))
+    letter = F.length(F.try_variant_get(record, "$.reason", "string"))
+    facts = F.round(number("$.o_totalprice", "double") * 100).cast("bigint") + number("$.o_custkey") + number("$.o_orderkey")
+    facts = facts + F.coalesce(F.ascii(F.try_variant_get(record, "$.o_orderstatus", "string")), F.lit(0))
+    value = F.when(F.col("topic") == "dead_letter", letter).otherwise(facts)
+    keys = F.countDistinct("key").alias("keys")
+    return rows.groupBy("topic").agg(F.count("*").alias("n"), keys, F.sum(value).alias("total"))
 
 
 # ---- dimensions -------------------------------------------------------------------------
@@ -679,10 +749,9 @@ def run_change_job(spark: SparkSession, sf: str, runs: int = 1, database: str |
 
 @query
 def change_job_topics(spark, sf):
-    """The change job end to end: rows and distinct keys per topic."""
+    """The change job end to end: rows, distinct keys and a sum over the values per topic."""
     sink, _ = run_change_job(spark, sf)
-    rows = sink.read(spark, ".*", pattern=True)
-    return rows.groupBy("topic").agg(F.count("*").alias("n"), F.countDistinct("key").alias("keys"))
+    return change_totals(sink.read(spark, ".*", pattern=True))
 
 
 @query
