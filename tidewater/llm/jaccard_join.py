@@ -295,8 +295,8 @@ def keep_one_per_class(docs: DataFrame, p: JaccardJoin = JaccardJoin()) -> DataF
     found = jaccard_classes(docs, p)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = kept.groupBy(F.col("rid").alias("_row_key")).agg(F.max("class_id").alias("_class"), F.count("*").alias("_rows"))
-    rows = docs.withColumn("_row_key", row_key("doc_id", "text")).join(kept, "_row_key")
-    rows = rows.where(F.col("doc_id").eqNullSafe(F.col("_class")))
-    single = rows.where("_rows = 1 OR coalesce(text, '') = ''")
-    repeated = rows.where("_rows > 1 AND coalesce(text, '') <> ''").dropDuplicates(["_row_key"])
-    return single.unionByName(repeated).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), row_key("doc_id", "text").alias("_row_key")).join(kept, "_row_key")
+    rows = rows.where(F.col("row.doc_id").eqNullSafe(F.col("_class")))
+    single = rows.where("_rows = 1 OR coalesce(row.text, '') = ''")
+    repeated = rows.where("_rows > 1 AND coalesce(row.text, '') <> ''").dropDuplicates(["_row_key"])
+    return single.unionByName(repeated).select("row.*")

@@ -434,9 +434,11 @@ def removal_digest(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
 def without_repeats(docs: DataFrame, p: Repeats = Repeats()) -> DataFrame:
     """``docs`` with ``kept``, the bytes that remain of each text; all columns stay."""
     spans = repeated_spans(docs, p).select(F.col("rid").alias("_rid"), F.col("spans").alias("_spans"))
-    joined = docs.withColumn("_key", row_key()).join(spans, F.col("_key") == F.col("_rid"), "left")
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("_key"))
+    joined = rows.join(spans, F.col("_key") == F.col("_rid"), "left")
 
     def cut(text: str | None, spans: list | None) -> bytes:
         return kept_bytes((text or "").encode(), merged([{"start": s["start"], "end": s["end"]} for s in spans or []]))
 
-    return joined.withColumn("kept", F.udf(cut, "binary", useArrow=False)(F.col("text").cast("string"), "_spans")).select(*docs.columns, "kept")
+    kept = F.udf(cut, "binary", useArrow=False)(F.col("row.text").cast("string"), "_spans")
+    return joined.select(F.col("row").withField("kept", kept).alias("row")).select("row.*")
