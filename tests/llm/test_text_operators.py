@@ -215,6 +215,31 @@ def test_passages_inside_and_over_lines(spark):
     assert cleaned[None] == rows[1][1] and cleaned[2] == "" and cleaned[4] == rows[3][1] and len(H.words(cleaned[1])) <= 551 - 16
 
 
+def test_long_passages_of_a_whole_table(spark):
+    """Beside every window of 51 words that another text has, in copies that are kept and removed alike."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    windows = {}
+    for r in docs.collect():
+        found = H.words(r.text)
+        for i in range(len(found) - 50):
+            windows.setdefault(tuple(found[i : i + 51]), set()).add(r.doc_id)
+    sharing = {doc_id for owners in windows.values() if len(owners) > 1 for doc_id in owners}
+    flagged = {r.doc_id for r in paragraph_summary(docs).where("n_long > 0").collect()}
+    others = docs.count() - len(sharing)
+    assert len(flagged & sharing) >= 0.97 * len(sharing) and len(flagged - sharing) <= 0.03 * others
+
+
+def test_one_hot_passage(spark):
+    """Half of all pieces are one passage; it is counted in every text and removed from all but one."""
+    rnd = random.Random(7)
+    shared = sentence(rnd, 60)
+    rows = [(i, f"{sentence(rnd, 25, 100_000)} {shared} {sentence(rnd, 25, 100_000)}") for i in range(300)]
+    rows += [(i, sentence(rnd, 80, 100_000)) for i in range(300, 330)]
+    found = {r.doc_id: r for r in paragraph_summary(spark.createDataFrame(rows, DOC)).collect()}
+    assert all((found[i].n_long > 0) == (i < 300) for i in found)
+    assert [i for i in range(300) if not found[i].passages] == [0]
+
+
 def test_pieces_of_shared_passages():
     rnd, p = np.random.default_rng(2), Paragraphs()
     for _ in range(300):

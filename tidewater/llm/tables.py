@@ -90,6 +90,26 @@ def with_block_pairs(members: DataFrame, size: str, block: int, salt: Column) ->
     ).drop("_blocks", "_other")
 
 
+def join_spread(left: DataFrame, right: DataFrame, keys: list[str], size: str, salt: Column, share: int = 256, salts: int = 64) -> DataFrame:
+    """Inner join with one row per key on the right, where ``size`` counts the rows of the key on the left.
+
+    A key with more than one in ``share`` of all rows is dealt to ``salts`` tasks by ``salt``, a
+    column over ``left`` that a task gets alike when it runs again. There are fewer such keys
+    than ``share``, so they are broadcast. ``right`` should be a written table; ``size`` is dropped.
+    """
+    total = right.agg(F.sum(size).alias("rows")).first()["rows"] or 0
+    is_hot = F.col(size) * share > F.lit(total)
+    hot = F.broadcast(right.where(is_hot).select(*[F.col(key).alias(f"_hot_{key}") for key in keys]))
+    match = F.lit(True)
+    for key in keys:
+        match &= F.col(key) == F.col(f"_hot_{key}")
+    lane = F.when(F.col(f"_hot_{keys[0]}").isNotNull(), F.pmod(salt, F.lit(salts))).otherwise(F.lit(0)).cast("int")
+    left = left.join(hot, match, "left").withColumn("_salt", lane).drop(*hot.columns)
+    lanes = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    right = right.withColumn("_salt", F.explode(lanes)).drop(size)
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
 def slices_of_groups(table: pa.Table, keys: list[str]) -> Iterator[tuple[int, int, int, int]]:
     """``(start, end, block_a, block_b)`` of every group of a table sorted by ``keys``."""
     columns = [table[key].to_numpy() for key in keys]
