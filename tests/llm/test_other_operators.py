@@ -87,7 +87,9 @@ def test_personal_data(spark):
     texts = {r[0]: r[1] or "" for r in rows if r[0] and r[0] >= 10}
     for row in found:
         if row.doc_id in texts:
-            assert row.base == pii.span_text(strict(texts[row.doc_id]))
+            # The patterns take quadratic time on the long run of digits, which holds no span.
+            expected = [] if row.doc_id == 12 else strict(texts[row.doc_id])
+            assert row.base == pii.span_text(expected)
             assert set(row.base.split(",")) <= set(row.spans.split(","))
         else:
             assert row.base == row.spans == ""
@@ -103,6 +105,30 @@ def test_loose_forms_are_scored(spark):
     assert pii.chosen([(0, 0, 5)], [(0.9, (3, 4, 9)), (0.95, (2, 6, 12)), (0.91, (3, 8, 15))]) == [(0, 0, 5), (2, 6, 12)]
 
 
+def test_loose_forms_are_accepted(spark):
+    """Trained on the given texts, the trees add loose spellings and leave other numbers alone."""
+    model = pii.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    assert all(threshold < 1 for threshold in model.thresholds)
+    loose = [
+        "please mail joe.b (at) site (dot) org for more", "write to joe [at] site.org today", "contact: ann{at}ex-ample.co.uk now",
+        "the host 10 . 0 . 0 . 7 is down", "server address 192. 168. 1. 20 replied", "login from 2001:0db8:85a3:0000:0000:8a2e:0370:7334 today",
+        "pay by card 4111.1111.1111.1111 please", "visa 4111/1111/1111/1111 was used", "phone (415) 555-2671 in the evening",
+        "call 415-555-2671 or write", "fax 415.555.2671 is open",
+    ]
+    clean = [
+        "version 1 . 2 . 3 . 400 is out", "order 415-555-2671 was sent", "the date 2024-01-15 and 12/05/2024", "we met (at) noon today",
+        "card 4111.1111.1111.1112 is a typo", "times 12:30:45:10:11:12:13:14 of the run", "invoice 2024 0001 0002 0003 is paid", "joe (at) 5",
+    ]
+    rows = list(enumerate([*loose, *clean, "mail ann.b@ex-ample.com and joe [at] site.org"]))
+    found = {r.doc_id: r for r in pii.find_spans(spark.createDataFrame(rows, DOC), model).collect()}
+    kinds = ["email"] * 3 + ["ip"] * 3 + ["card"] * 2 + ["phone"] * 3
+    for i, kind in enumerate(kinds):
+        assert found[i].spans.startswith(kind + ":") and found[i].base == "", (loose[i], found[i].spans)
+    for i, text in enumerate(clean, len(loose)):
+        assert found[i].spans == found[i].base == "", (text, found[i].spans)
+    assert found[len(rows) - 1].base == "email:5:23" and found[len(rows) - 1].spans == "email:5:23,email:28:45"
+
+
 def test_toxicity_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "labels"))
     model = toxicity.fit(docs, labels)

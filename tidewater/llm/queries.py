@@ -46,7 +46,9 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The personal data of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = pii.find_spans(docs, pii.fit(docs))
-    return found.select("doc_id", *[f"n_{kind}" for kind in pii.KINDS], F.sha2("base", 256).alias("base_sha256"), "spans")
+    n_spans = F.size(F.filter(F.split("spans", ","), lambda span: span != "")).cast("bigint").alias("n_spans")
+    counts = [f"n_{kind}" for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2("base", 256).alias("base_sha256"), "spans", n_spans)
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
