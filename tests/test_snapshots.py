@@ -4,7 +4,7 @@ import random
 import pytest
 
 from tidewater.operators import changes as C
-from tidewater.sources.feeds import change_feed, rule_feed_letters, snapshot_with_changes
+from tidewater.sources.feeds import change_feed, changed_meanwhile, rule_feed_letters, snapshot_with_changes
 
 KEYS = ("a", "b")
 
@@ -74,6 +74,18 @@ def test_feed_of_a_table_read_while_it_changes(spark, seed):
     assert state == state_after(events)
 
 
+def test_changes_are_not_gathered_on_the_driver(spark):
+    """However small Spark takes the changes to be, and whatever it would broadcast."""
+    rows = [("s.d.t", record("update", ("k", "x"), "v"), 9), ("s.d.t", record("update", ("l", "x"), "v"), 20)]
+    changes = C.good_changes(change_feed(spark.createDataFrame(rows, "topic string, value string, seq bigint")))
+    spans = spark.createDataFrame(
+        [(0, ("k", "x"), 5, 15), (0, ("l", "x"), 5, 15)], "chunk int, key struct<a: string, b: string>, low bigint, high bigint"
+    )
+    found = changed_meanwhile(spans, changes, KEYS)
+    assert [tuple(row.key) for row in found.collect()] == [("k", "x")]
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bad_records_of_the_rule_feed_are_dead_letters(spark):
     rows = [("s.rules.rules", "{broken", 1), ("s", record("insert", ("k", "x"), "v"), 2), ("s.rules.rules", record("insert", ("k", "x"), "v"), 3)]
     feed = change_feed(spark.createDataFrame(rows, "topic string, value string, seq bigint"))
