@@ -182,3 +182,13 @@ def test_only_touched_buckets_are_rewritten(spark, rows, define):
     assert files() == second and spark.table("warehouse_test.dim_z").count() == 60
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         spark.read.parquet(*(first - second)).count()
+
+
+def test_rows_of_one_task_are_dealt_out_before_their_cells_are_sorted(spark):
+    rows = spark.range(50).selectExpr(
+        "'t' AS sink_table", "'hot' AS pk", "map('a', cast(id AS variant), 'b', cast(-id AS variant)) AS payload", "id AS seq"
+    ).coalesce(1)
+    cells = D.dim_cells(rows)
+    assert "REBALANCE_PARTITIONS_BY_COL" in cells._jdf.queryExecution().executedPlan().toString()
+    found = {(r.column, r.value, r.seq) for r in D.merge_cells(cells).collect()}
+    assert found == {("a", "49", 49), ("b", "-49", 49)}
