@@ -10,6 +10,7 @@ from tidewater.operators import rules as U
 from tidewater.sinks.dim_store import DimStore
 from tidewater.sources.topics import FileTopics
 from tidewater.streaming import jobs
+from tidewater.streaming.lanes import LANE_ROWS, lanes_for
 
 MESSAGE = "topic string, key string, value string"
 ONCE = {"once": True}
@@ -166,3 +167,9 @@ def test_waiting_needs_a_trigger_that_goes_on(spark, tmp_path):
     feeds.add("changes", [(2, envelope("u", "insert", {"id": 1}))])
     with pytest.raises(ValueError):
         feeds.run(wait_ms=1)
+
+
+def test_lanes_grow_with_the_messages_of_a_batch():
+    assert lanes_for(5, 8) == 8
+    assert lanes_for(LANE_ROWS * 50, 8) == 50
+    assert lanes_for(LANE_ROWS * 50 + 1, 8) == 51

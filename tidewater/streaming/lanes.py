@@ -11,7 +11,7 @@ arrives, and becomes a dead letter when none does in time. While changes may wai
 is older than the first rule of its key takes that rule, whichever of them arrived first.
 
 A lane holds its share of one micro-batch in memory while it is routed; the limits of the
-sources and the number of lanes set how much that is.
+sources and the number of lanes set how much that is; see :func:`lanes_for`.
 """
 
 from __future__ import annotations
@@ -37,10 +37,17 @@ WAITING = "seq bigint, source_table string, operate_type string, origin string,
 # Stands for no ``seq`` inside the lanes, where a NULL would turn the numbers into floats.
 NO_SEQ = -(1 << 63)
 EVENT = (*RULE_KEY, *RULE_BODY, "change_type", "old_source_table", "old_operate_type")
+# Messages of a micro-batch that a lane should hold.
+LANE_ROWS = 100_000
 TIME_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 BODY = "sink_type string, sink_table string, columns array<string>, sink_pk string, sink_extend string"
 
 
+def lanes_for(batch_rows: int, parallelism: int) -> int:
+    """Lanes for micro-batches of up to ``batch_rows`` messages, at least one per core."""
+    return max(parallelism, -(-batch_rows // LANE_ROWS))
+
+
 def lane_rules(messages: DataFrame, lanes: int, trim_columns: bool = False) -> DataFrame:
     """Messages of the rule topic (``value, seq``) for all lanes, with what is wrong with them by themselves."""
     parsed = parse_envelopes(messages)

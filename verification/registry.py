@@ -24,7 +24,7 @@ from tidewater.sources.growinglogs import stream_growing_logs
 from tidewater.sources.logfiles import LINE_ORDER, read_log_files, stream_log_files
 from tidewater.sources.topics import FileTopics, without_repeats_within
 from tidewater.streaming import jobs
-from tidewater.streaming.lanes import connect_rules, connected_changes
+from tidewater.streaming.lanes import connect_rules, connected_changes, lanes_for
 from tidewater.streaming.visitors import known_devices, state_settings
 from verification import recipes as R
 
@@ -572,15 +572,16 @@ def run_connected(spark: SparkSession, sf: str, name: str, steps, trigger, **opt
     changes = C.envelope_text(change_feed(R.raw_changes(spark, sf, "orders", "o_orderkey")))
     key = F.col("seq").cast("string").alias("key")
     source.write_batch(changes.select(F.lit(RAW_CHANGE_TOPIC).alias("topic"), key, "value").repartition(4), 0)
+    lanes = lanes_for(source.read(spark, RAW_CHANGE_TOPIC).count(), spark.sparkContext.defaultParallelism)
     for step, rules in enumerate(steps):
         history = C.envelope_text(R.rule_changes(spark, rules)).select(F.lit("rules").alias("topic"), key, "value")
         source.write_batch(history, step + 1)
         messages, rule_messages = (R.with_seq(source.stream(spark, topic)) for topic in (RAW_CHANGE_TOPIC, "rules"))
-        rows = connect_rules(messages, rule_messages, spark.sparkContext.defaultParallelism, **options)
+        rows = connect_rules(messages, rule_messages, lanes, **options)
         fields = StructType([StructField("seq", LongType())])
         out = connected_changes(rows, fields).select("seq", "type", "sink_table", F.size("payload").alias("n_columns"), "reason")
         writer = out.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
-        with state_settings(spark, spark.sparkContext.defaultParallelism):
+        with state_settings(spark, lanes):
             finished(writer.trigger(**trigger).start())
     return spark.read.parquet(f"{root}/out")
 
@@ -614,7 +615,7 @@ def connected_job_stream(spark, sf):
     seq = F.split("key", "/")[1].cast("bigint")
     messages, rule_messages = (source.stream(spark, topic).withColumn("seq", seq) for topic in (RAW_CHANGE_TOPIC, "rules"))
     database = new_database(spark)
-    lanes = spark.sparkContext.defaultParallelism
+    lanes = lanes_for(source.read(spark, RAW_CHANGE_TOPIC).count(), spark.sparkContext.defaultParallelism)
     job = jobs.start_connected_job(
         messages, rule_messages, sink, store, f"{root}/checkpoint", lanes, database, order_by=("key",)
     )
