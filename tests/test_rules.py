@@ -1,11 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.operators import changes as C
 from tidewater.operators import dims as D
 from tidewater.operators import rules as U
 from tidewater.session import broadcast_if_small
+from verification import recipes as R
 
 NAMES = ("source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk", "sink_extend")
 
@@ -190,3 +192,19 @@ def test_dimension_definitions_keep_first_mention_order(rules):
     assert [r.asDict() for r in rows] == [
         {"sink_table": "d", "sink_pk": "id", "columns": ["id", "b", "a", "c"], "sink_extend": "comment=x"}
     ]
+
+
+def test_rules_are_followed_in_a_task_per_number_of_rows(spark, tmp_path):
+    """Not per number of bytes, of which they have few."""
+    spark.range(40).select(F.col("id").alias("p_partkey")).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rules = U.validate_rules(U.bind_rules(R.rules_of_deleted_keys(spark, str(tmp_path))), honor_deletes=True)
+    assert "REPARTITION_BY_NUM" in rules._jdf.queryExecution().executedPlan().toString()
+    assert rules.count() == 100
+    assert rules.where("reason = 'other_pk'").count() == 20
+
+
+def test_a_table_in_one_file_is_dealt_out(spark, tmp_path):
+    spark.range(R.FEW_ROWS * 2).coalesce(1).write.parquet(f"{tmp_path}/t.parquet")
+    rows = R.table(spark, str(tmp_path), "t")
+    assert rows.rdd.getNumPartitions() == 2
+    assert rows.agg(F.count("*"), F.countDistinct("id")).first() == (R.FEW_ROWS * 2, R.FEW_ROWS * 2)

@@ -31,6 +31,9 @@ RULE_BODY = ("sink_type", "sink_table", "columns", "sink_pk", "sink_extend")
 # Intervals of a rule key that one lookup compares.
 FANOUT = 16
 
+# Rule changes that one task follows, unless one group has more.
+FOLLOWED_ROWS = 50_000
+
 
 def bind_rules(changes: DataFrame, order_by: str = "seq", keep: Sequence[str] = ()) -> DataFrame:
     """Rule-table changes as rule rows, whatever the case style of the field names.
@@ -157,7 +160,10 @@ def keys_in_force(rules: DataFrame) -> DataFrame:
     group = F.when(F.col("_linked").isNull(), first).otherwise("")
     joined = joined.withColumn("_group", group).drop("_tables", "_linked")
     order = ["_group", "seq", *RULE_KEY, "sink_table", "sink_pk"]
-    followed = joined.where("_group IS NOT NULL").repartition("_group").sortWithinPartitions(*order)
+    followed = joined.where("_group IS NOT NULL")
+    # Following is slow for the bytes it reads, so the number of tasks comes from the rows.
+    parts = max(rules.sparkSession.sparkContext.defaultParallelism, -(-followed.count() // FOLLOWED_ROWS))
+    followed = followed.repartition(parts, "_group").sortWithinPartitions(*order)
     checked = followed.mapInPandas(_follow, joined.schema)
     return joined.where("_group IS NULL").unionByName(checked).drop("_group")
 

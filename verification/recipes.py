@@ -33,8 +33,20 @@ RULE_HISTORY = (
 HISTORY_FIELDS = ("seq", "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk")
 
 
+# Rows of a table that make a task of their own while cores are free, and that are enough for any task.
+FEW_ROWS, MANY_ROWS = 20_000, 500_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table, dealt out by its key.
+
+    The files are packed so tightly that a few tasks read them, and what is derived from a row
+    costs far more than the row; so the number of tasks comes from the rows and not from the bytes.
+    """
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    count = rows.count()
+    tasks = max(min(-(-count // FEW_ROWS), 2 * spark.sparkContext.defaultParallelism), -(-count // MANY_ROWS))
+    return rows.repartition(tasks, rows.columns[0]) if tasks > 1 else rows
 
 
 def log_text(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
