@@ -30,6 +30,20 @@ def test_pieces_give_the_ids_of_whole_texts():
     assert [ids for at in range(0, 3000, 200) for ids in encoder.encode(texts[at : at + 200])] == expected
 
 
+def test_words_are_told_apart_without_offsets():
+    encoder = Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    whole, words = encoder.tokenizer, [f" {'é' * (i % 3)}word{chr(97 + i % 26)}{'xyz' * (i % 7)}" for i in range(1200)]
+    expected = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(words, add_special_tokens=False)]
+
+    class WithoutOffsets:
+        encode_batch_fast = staticmethod(whole.encode_batch_fast)
+
+    encoder.tokenizer = WithoutOffsets
+    assert encoder._word_ids(words) == expected
+    encoder.tokenizer, encoder.sizes = whole, None  # another kind of tokenizer
+    assert encoder._word_ids(words) == expected
+
+
 def test_token_files(spark, tmp_path):
     rows = [*H.ODD_ROWS, *[(i, f"document {i} " * (i % 50)) for i in range(200, 20, -1)]]
     path = str(tmp_path / "tokens")

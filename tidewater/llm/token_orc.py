@@ -47,7 +47,8 @@ FILE_SCHEMA = "part int, before bigint, doc_id bigint, n_tokens bigint, ids arra
 # How the pre-tokenizer cuts a text, for texts of ASCII and Latin letters.
 # In those, the pieces can be told without the Unicode tables of the tokenizer.
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_PIECE = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[{_LETTERS}]+| ?[0-9]+| ?[^\s{_LETTERS}0-9]+|\s+(?!\S)|\s+")
+# Words come first, as nearly all pieces are words; no other part begins as they do.
+_PIECE = re.compile(rf" ?[{_LETTERS}]++|'(?:s|t|re|ve|m|ll|d)| ?[0-9]++| ?[^\s{_LETTERS}0-9]++|\s+(?!\S)|\s+")
 _PLAIN = re.compile(r"[\t\n\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]*")
 _WORD = re.compile(rf" [{_LETTERS}]+")
 # In other texts a single space before a visible character starts a new piece all the same.
@@ -68,6 +69,17 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.sizes = self._token_sizes()
+
+    def _token_sizes(self) -> np.ndarray | None:
+        """Bytes that each id stands for, if the tokenizer writes a byte as one character of its vocabulary."""
+        if type(self.tokenizer.pre_tokenizer).__name__ != "ByteLevel" or self.tokenizer.normalizer is not None:
+            return None
+        vocabulary = self.tokenizer.get_vocab()
+        sizes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        for token, number in vocabulary.items():
+            sizes[number] = len(token)
+        return sizes
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -76,15 +88,27 @@ class Encoder:
     def _word_ids(self, words: list[str]) -> list[bytes]:
         """Ids of words that begin with their space: together they are one text of such words."""
         out: list[bytes] = []
-        for at in range(0, len(words), 2000):
-            part = words[at : at + 2000]
-            encoded = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            starts = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(encoded.ids))
-            cuts = np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(word) for word in part]))))
-            ids = np.array(encoded.ids, dtype="<u4").tobytes()
+        for at in range(0, len(words), 500):
+            part = words[at : at + 500]
+            cuts, ids = self._cuts(part)
             out += [ids[4 * a : 4 * b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
         return out
 
+    def _cuts(self, words: list[str]) -> tuple[np.ndarray, bytes]:
+        """Ids of the words as one text, and where those of each word begin and end."""
+        text = "".join(words)
+        if self.sizes is not None:
+            # The bytes of the ids tell the words apart; offsets would cost as much as the ids.
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum([len(word.encode()) for word in words])
+            last = np.searchsorted(ends, wanted)
+            if len(ends) and ends[-1] == wanted[-1] and (ends[last] == wanted).all():
+                return np.concatenate(([0], last + 1)), ids.tobytes()
+        encoded = self.tokenizer.encode(text, add_special_tokens=False)
+        starts = np.fromiter((start for start, _ in encoded.offsets), np.int64, len(encoded.ids))
+        cuts = np.searchsorted(starts, np.concatenate(([0], np.cumsum([len(word) for word in words]))))
+        return cuts, np.array(encoded.ids, dtype="<u4").tobytes()
+
     def _pieces(self, text: str) -> list[str] | None:
         """Parts of a text that are encoded independently; None if it holds a special token."""
         if any(token in text for token in self.special):
