@@ -66,6 +66,8 @@ def start_log_job(
     """
     if ttl_ms and "availableNow" in trigger:
         raise ValueError("state that expires needs a trigger other than availableNow")
+    # Other columns of a message would only travel through the state operator.
+    messages = messages.select(*dict.fromkeys(["value", *order_by]))
     repaired = repair_is_new_stream(parse_logs(messages), order_by, ttl_ms, state_partitions, known)
     outputs = route_logs(repaired, keep=order_by)
     topics = (START_TOPIC, PAGE_TOPIC, DISPLAY_TOPIC, DEAD_LETTER_TOPIC)
