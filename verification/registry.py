@@ -17,7 +17,7 @@ from tidewater.operators import rules as U
 from tidewater.plans.changes import change_outputs, replayed_changes, routed_changes
 from tidewater.plans.logs import log_outputs, publishable
 from tidewater.schemas import RAW_CHANGE_TOPIC, RAW_LOG_TOPIC
-from tidewater.session import shared_dir
+from tidewater.session import shared_dir, stored
 from tidewater.sinks.catalog import create_dim_tables, fill_dim_tables
 from tidewater.sources.feeds import change_feed, rule_feed, rule_feed_letters, snapshot_with_changes
 from tidewater.sources.growinglogs import stream_growing_logs
@@ -129,7 +129,8 @@ def topic_dedup_stream(spark, sf):
     """A topic that holds one batch twice, read as a stream without the repeats."""
     root = shared_dir(spark, "topic_dedup")
     topics = FileTopics(f"{root}/topics")
-    out = publishable(log_outputs(R.log_text(spark, sf)), ("seq",), "log_job")
+    # Both batches hold the same rows, which are computed once.
+    out = stored(publishable(log_outputs(R.log_text(spark, sf)), ("seq",), "log_job"), "topic_dedup")
     topics.write_batch(out, 0, "first")
     topics.write_batch(out.where("topic <> 'dwd_page_log'"), 0, "repeated")
     rows = without_repeats_within(topics.stream(spark, ".*", pattern=True)).select("topic", "key", "value")
