@@ -843,7 +843,8 @@ def dead_letter_replay(spark, sf):
     raw = C.envelope_text(change_feed(R.shop_changes(spark, sf))).select("seq", "value", "tableName")
     early = R.rule_changes(spark).where(J.path_string(F.col("after")["source_table"]) != "customer")
     letters = change_outputs(routed_changes(raw, early)).where("reason IS NOT NULL")
-    topics.write_batch(publishable(letters, ("tableName", "seq"), "change_job"), 0, "first")
-    topics.write_batch(publishable(letters, ("tableName", "seq"), "change_job"), 0, "repeated")
+    letters = stored(publishable(letters, ("tableName", "seq"), "change_job"), "dead_letters")
+    topics.write_batch(letters, 0, "first")
+    topics.write_batch(letters, 0, "repeated")
     found = replayed_changes(topics.read(spark, "dead_letter"), R.rule_changes(spark))
     return found.select("key", "sink_table", "pk", F.size("payload").alias("n_columns"), "reason")
