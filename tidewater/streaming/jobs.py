@@ -233,7 +233,9 @@ def start_connected_job(
     def process(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         # The state store has one answer for a batch, so what it gave is kept for all sinks.
+        # Counting fills it in all lanes at once; the tables below are fetched one lane after another.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        batch.count()
         routed = connected_changes(batch, fields)
         text = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
         columns = dict.fromkeys([*order_by, "seq"])
