@@ -776,7 +776,7 @@ def dim_catalog_table(spark, sf):
 def dim_catalog_merge(spark, sf):
     """Three batches merged into a catalog table, the latest changes first and one of them twice."""
     database = new_database(spark)
-    cells = D.dim_cells(R.customer_dim_rows(spark, sf))
+    cells = stored(D.dim_cells(R.customer_dim_rows(spark, sf)), "catalog_cells")
     schema = "sink_table string, sink_pk string, columns array<string>, sink_extend string"
     rule = [("dim_customer", "c_custkey", list(CUSTOMER_COLUMNS), "")]
     create_dim_tables(spark, spark.createDataFrame(rule, schema), database)
