@@ -1,11 +1,14 @@
 """What a query or job computes once, and what does not travel through Python."""
 
 import json
+import re
 from datetime import datetime
 
 import pytest
 from pyspark.sql import Row
+from pyspark.sql import functions as F
 
+from tidewater.sources.feeds import change_feed
 from tidewater.sources.topics import FileTopics
 from tidewater.streaming import jobs
 from tidewater.streaming.visitors import first_visit
@@ -110,3 +113,45 @@ def test_only_the_columns_of_a_log_reach_the_state(spark, tables, tmp_path, monk
     assert not {"topic", "key", "timestamp", "partition", "offset"} & set(widths[0])
     found = FileTopics(f"{tmp_path}/out").read(spark, "dwd_page_log").collect()
     assert found and all(json.loads(r.value)["common"]["mid"] for r in found)
+
+
+def plan_of(frame):
+    return frame._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_text_of_a_change_is_made_once(spark, tables):
+    """A test of the text must not move below an exchange, where the text would be made a second time."""
+    raw = R.raw_changes(spark, tables, "orders", "o_orderkey")
+    feed = change_feed(raw)
+    assert plan_of(feed).count("StructsToJsonEvaluator") == 1
+    assert feed.columns[:2] == ["value", "seq"] and feed.count() == 12
+    missing = change_feed(raw.withColumn("value", F.when(F.col("seq") > 3, F.col("value"))))
+    assert sorted(r.seq for r in missing.collect()) == list(range(4, 12))
+
+
+def test_value_of_a_topic_row_is_parsed_once(spark):
+    rows = spark.createDataFrame([("t", "a", '{"o_custkey": 2, "o_orderkey": 3}')], "topic string, key string, value string")
+    totals = registry.change_totals(rows)
+    assert len(re.findall("parse_?json", plan_of(totals), re.IGNORECASE)) == 1
+    assert [tuple(r) for r in totals.collect()] == [("t", 1, 1, 5)]
+
+
+@pytest.mark.parametrize("name, runs", [("change_job_topics", 1), ("dim_catalog_table", 2)])
+def test_a_batch_of_changes_holds_what_is_routed(spark, tables, monkeypatch, name, runs):
+    columns, tasks = [], []
+    route, start = jobs.route_changes, jobs.start_change_job
+
+    def routed(batch, rules):
+        columns.append(batch.columns)
+        return route(batch, rules)
+
+    def started(*args, **options):
+        tasks.append(spark.conf.get("spark.sql.files.minPartitionNum", None))
+        return start(*args, **options)
+
+    monkeypatch.setattr(jobs, "route_changes", routed)
+    monkeypatch.setattr(jobs, "start_change_job", started)
+    assert registry.REGISTRY[name](spark, tables).count() > 0
+    assert columns == [["key", "seq", "value", "tableName", "type", "after", "reason"]] * runs
+    assert tasks == [str(3 * spark.sparkContext.defaultParallelism)] * runs
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None

@@ -40,7 +40,9 @@ def parse_change_records(df: DataFrame, decode: bool = False) -> DataFrame:
     record keeps a NULL ``op`` and is reported by :func:`normalize_changes`.
     """
     record = f"{CHANGE_RECORD}, payload struct<{CHANGE_RECORD}>" + (", schema variant" if decode else "")
-    parsed = J.with_computed(df, record=parse_struct(F.col("value"), record))
+    # The text passes the generator too: a filter on it would move below exchanges and make a computed text twice.
+    parsed = J.with_computed(df, value=F.col("value"), record=parse_struct(F.col("value"), record))
+    parsed = parsed.select(*df.columns, "record")
     good = F.col("record._bad").isNull()
     inner = F.col("record.payload").isNotNull()
     fields = {

@@ -27,7 +27,7 @@ def change_feed(messages: DataFrame, decode: bool = False, **options: bool) -> D
     A message without a value is the tombstone that follows a delete, and is skipped. With
     ``decode`` values that a record's schema block says are encoded are decoded.
     """
-    return normalize_changes(parse_change_records(messages.where("value IS NOT NULL"), decode), **options)
+    return normalize_changes(parse_change_records(messages, decode).where("value IS NOT NULL"), **options)
 
 
 def row_image(*columns: str) -> Column:

@@ -142,6 +142,8 @@ def start_change_job(
         F.count_if(F.col("reason").isNotNull()).alias("bad"),
     ]
     parsed = drop_deletes(parsed.observe("changes", *counts))
+    # A batch holds all columns of its stream, whether they are read or not.
+    parsed = parsed.select(*dict.fromkeys([*order_by, seq, "value", "tableName", "type", "after", "reason"]))
 
     tables: set = set()
     state: dict = {"job": None, "reported": None}
