@@ -2,6 +2,7 @@
 
 import json
 import re
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -54,6 +55,22 @@ def test_rows_written_twice_are_computed_once(spark, tables, monkeypatch, name,
     assert all(files and all(folder in file for file in files) for files in read)
 
 
+def test_a_repeated_batch_holds_all_rows_of_all_topics(spark, tables, monkeypatch):
+    held = {}
+    write = FileTopics.write_batch
+
+    def write_batch(self, rows, batch_id, job="batch"):
+        held[job] = sorted(map(tuple, rows.collect()))
+        write(self, rows, batch_id, job)
+
+    monkeypatch.setattr(FileTopics, "write_batch", write_batch)
+    totals = registry.topic_dedup_stream(spark, tables).collect()
+    assert list(held) == ["first", "repeated"] and held["first"] == held["repeated"]
+    rows = Counter(topic for topic, _, _ in held["first"])
+    assert set(rows) == {"dead_letter", "dwd_display_log", "dwd_page_log", "dwd_start_log"}
+    assert {r.topic: (r.n, r["keys"]) for r in totals} == {topic: (n, n) for topic, n in rows.items()}
+
+
 def test_cells_of_several_fills_are_computed_once(spark, tables, monkeypatch):
     read = []
     fill = registry.fill_dim_tables

@@ -132,7 +132,7 @@ def topic_dedup_stream(spark, sf):
     # Both batches hold the same rows, which are computed once.
     out = stored(publishable(log_outputs(R.log_text(spark, sf)), ("seq",), "log_job"), "topic_dedup")
     topics.write_batch(out, 0, "first")
-    topics.write_batch(out.where("topic <> 'dwd_page_log'"), 0, "repeated")
+    topics.write_batch(out, 0, "repeated")
     rows = without_repeats_within(topics.stream(spark, ".*", pattern=True)).select("topic", "key", "value")
     writer = rows.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
     finished(writer.trigger(availableNow=True).start())
